@@ -21,6 +21,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, per_cent=80)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trailforge.llm.tokens import token_counts
 
@@ -34,6 +40,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op3_token_counts, op4_decontamination)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.pii import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op10_pii)}
 
 ORACLE_SQL: dict[str, str] = {}
