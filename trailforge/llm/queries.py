@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailforge.llm.common import table
+from trailforge.llm.common import crc_mod, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -40,12 +40,27 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.langid import identify, learn
+
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, learn(docs, crc_mod("doc_id", 4) != 2))
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.toxicity import toxicity
+
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=crc_mod("doc_id", 3) != 1)
+    return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trailforge.llm.pii import report
 
     return report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_toxicity, op10_pii)}
 
 ORACLE_SQL: dict[str, str] = {}

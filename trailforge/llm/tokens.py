@@ -17,6 +17,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +33,7 @@ OVERLAP_CHARS = 256
 #: A pre-token's end looks at most one character ahead; a boundary needs this many more characters in its chunk.
 GUARD = 4
 #: Distinct pieces kept in a worker's memory; when it is full the memory starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 
 # Letters and numbers among the characters the fast path accepts: categories L and N up to U+024F.
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
@@ -45,6 +46,16 @@ _SPLIT = {
 }
 
 
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from U+0100."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = itertools.count(0x100)
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
+_BYTE_CHAR = _byte_chars()
+
+
 class PreTokens:
     """Encoder of one tokenizers file. ``ids`` gives little-endian unsigned 32-bit ids as bytes."""
 
@@ -59,6 +70,7 @@ class PreTokens:
         self.split = _SPLIT.get(kind)
         self.lower = kind == "word_bpe"
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.merge = self.tok.model.tokenize
         self.cache: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bool:
@@ -73,8 +85,8 @@ class PreTokens:
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
             new = list(pieces)
-        for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, "<u4").tobytes()
+        for p in new:  # a piece is one pre-token, so the model alone gives its ids
+            self.cache[p] = struct.pack(f"<{len(t := self.merge(''.join(map(_BYTE_CHAR.__getitem__, p.encode()))))}I", *[x.id for x in t])
 
     def ids_plain(self, text: str) -> bytes:
         pieces, get = self.pieces(text), self.cache.get
