@@ -55,12 +55,25 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.warc import round_trip
+
+    found = round_trip(table(spark, sf_dir, "pages"), least=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trailforge.llm.pii import report
 
     return report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_toxicity, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_toxicity, op8_warc, op9_nearest_neighbours, op10_pii)}
 
 ORACLE_SQL: dict[str, str] = {}
