@@ -62,3 +62,37 @@ def ints_of(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 Batches = Iterator[pa.RecordBatch]
+
+
+def files_at(path: str):
+    """A file system and the path in it, for a shared folder's URI."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+
+
+def put_file(folder: str, name: str, data: bytes, attempt: int) -> None:
+    """Write a whole file under a temporary name, then rename it. A task that runs again puts the same bytes there."""
+    fs, at = files_at(folder)
+    with fs.open_output_stream(f"{at}/_tmp-{attempt}-{name}", compression=None) as out:
+        out.write(data)
+    fs.move(f"{at}/_tmp-{attempt}-{name}", f"{at}/{name}")
+
+
+def map_file(folder: str, name: str):
+    """A file of the shared folder as mapped bytes; from a store that can't be mapped, by way of a local copy."""
+    import mmap
+    import os
+
+    fs, at = files_at(folder)
+    if fs.type_name == "local":
+        local = f"{at}/{name}"
+    else:
+        local = f"{tempfile.gettempdir()}/{name}-{abs(hash(folder))}"
+        if not os.path.exists(local):
+            with fs.open_input_stream(f"{at}/{name}", compression=None) as f, open(f"{local}.{os.getpid()}", "wb") as out:
+                while part := f.read(1 << 20):
+                    out.write(part)
+            os.replace(f"{local}.{os.getpid()}", local)
+    with open(local, "rb") as f:
+        return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)

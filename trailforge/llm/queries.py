@@ -55,6 +55,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trailforge.llm.lm import learn, scores
+
+    docs = table(spark, sf_dir, "documents")
+    found = scores(docs, learn(docs, crc_mod("doc_id", 7) != 2))
+    return found.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trailforge.llm.warc import round_trip
 
@@ -74,6 +82,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_toxicity, op8_warc, op9_nearest_neighbours, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_toxicity, op7_lm_scores, op8_warc, op9_nearest_neighbours, op10_pii)}
 
 ORACLE_SQL: dict[str, str] = {}

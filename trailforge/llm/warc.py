@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailforge.llm.common import Batches, new_path, small_batches
+from trailforge.llm.common import Batches, files_at, new_path, small_batches
 
 ROLL_BYTES = 64_000_000
 DATE = "2024-01-01T00:00:00Z"
@@ -80,13 +80,6 @@ def member(data: bytes) -> bytes:
     return c.compress(data) + c.flush()
 
 
-def files_at(path: str):
-    """A file system and the path in it, for a shared folder's URI."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-
-
 class Roller:
     """Writes members to files of a task, each under a temporary name until it is whole."""
 
