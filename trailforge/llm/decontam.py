@@ -101,18 +101,17 @@ def _shards(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> li
     return [tuple(s) for s in shards]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_item_bytes: int = MAX_ITEM_BYTES, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """id, n_words, n_hit, n_items, items_sha256, contaminated, runs (hit runs of words), byte_spans (the same in the original's UTF-8 bytes), items."""
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_item_bytes: int = MAX_ITEM_BYTES, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", keep: tuple[str, ...] = (), text_out: bool = False) -> DataFrame:
+    """id, kept columns (and the text, with text_out), n_words, n_hit, n_items, items_sha256, contaminated, runs (hit runs of words), byte_spans (the same in the original's UTF-8 bytes), items."""
     spark = docs.sparkSession
     small_batches(spark)
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
     shards = _shards(benchmark, item_col, "text", max_item_bytes)
     held = [spark.sparkContext.broadcast(s) for s in shards]
 
     def run(batches: Batches) -> Batches:
         for b in batches:
             out: list[list] = [[] for _ in range(8)]
-            texts = texts_of(b)
+            texts = texts_of(b, "_text")
             scans: list[list] = [[] for _ in texts]
             for h in held:  # one automaton unless the benchmark is larger than the bound
                 auto = automaton(h.value, size)
@@ -126,13 +125,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max
                     col.append(v)
             spans = pa.list_(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), spans, spans, pa.list_(pa.string())), strict=True))],
-                names=[id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "runs", "byte_spans", "items"],
+                [*b.columns[1:], *(pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), spans, spans, pa.list_(pa.string())), strict=True))],
+                names=[*b.schema.names[1:], "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "runs", "byte_spans", "items"],
             )
 
-    return docs.select(docs[id_col], docs[text_col].alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, runs array<array<long>>, byte_spans array<array<long>>, items array<string>"
-    )
+    source = docs.select(F.col(text_col).alias("_text"), id_col, *([text_col] * text_out), *keep)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
+    found = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, runs array<array<long>>, byte_spans array<array<long>>, items array<string>"
+    return source.mapInArrow(run, f"{fields}, {found}")
 
 
 def byte_spans(text: str, runs: list[tuple[int, int]]) -> list[list[int]]:

@@ -251,8 +251,8 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column | None, most: int
     return [(r["_text"], r["_label"], r["_lang"]) for r in rows]
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, most: int = MAX_PER_CLASS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, kept columns, score, predicted of every row. learn: which labelled ids may be learnt from."""
+def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, most: int = MAX_PER_CLASS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = "lang", keep: tuple[str, ...] = (), text_out: bool = False) -> DataFrame:
+    """id, kept columns, score, predicted of every row. learn: which labelled ids may be learnt from. text_out: the text goes on."""
     spark = docs.sparkSession
     small_batches(spark)
     model = fit(labelled(docs, labels, learn, most, id_col, text_col, label_col, lang_col))
@@ -262,9 +262,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, mo
         scorer = Scorer(pickle.loads(held.value))
         for b in batches:
             scores = [scorer.m.score(*scorer.log_odds(t)) for t in texts_of(b, "_text")]
-            others = [b.column(i) for i in range(1, b.num_columns)]
+            others = [b.column(i) for i in range(1, b.num_columns)]  # with the text itself, where it goes on
             yield pa.RecordBatch.from_arrays([*others, pa.array(scores, pa.float64()), pa.array([int(s >= DECISION) for s in scores], pa.int32())], names=[*b.schema.names[1:], "score", "predicted"])
 
-    source = docs.select(F.col(text_col).alias("_text"), id_col, *keep)
+    source = docs.select(F.col(text_col).alias("_text"), id_col, *([text_col] * text_out), *keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
     return source.mapInArrow(run, f"{fields}, score double, predicted int")
