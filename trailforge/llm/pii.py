@@ -266,14 +266,13 @@ def _any(cs: list[Column]) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, kept columns, text, one array of (s, e) of checked base spans for each base kind, and all: every span with its kind.
-
-    all is in the order of kinds, then starts.
+    """row (a struct of id and kept columns), text, an array of (s, e) of checked base spans for each base kind, and all:
+    every span with its kind, in the order of kinds, then starts.
     """
     fitted = model(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<struct<s:int,e:int,m:string,before:string,after:string>>")
-    at = docs.select(id_col, *keep, text.alias("_text"), text.rlike(_MAYBE).alias("_maybe"))
+    at = docs.select(F.struct(id_col, *keep).alias("row"), text.alias("_text"), text.rlike(_MAYBE).alias("_maybe"))
     at = at.withColumns({f"_{k}": F.when(F.col("_maybe"), matches(F.col("_text"), p)).otherwise(none) for k, p in (BASE | PROPOSED).items()})
     pair = lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))
     chosen = {f"_{k}": F.transform(F.filter(F.col(f"_{k}"), _valid(k)), pair) for k in BASE}
@@ -291,7 +290,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
         every = F.concat(*own) if len(own) > 1 else own[0]
         return F.transform(F.array_sort(every), lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
 
-    return at.select(id_col, *keep, F.col("_text").alias("text"), *(F.col(f"_{k}").alias(k) for k in BASE), F.concat(*map(named, KINDS)).alias("all"))
+    return at.select("row", F.col("_text").alias("text"), *(F.col(f"_{k}").alias(k) for k in BASE), F.concat(*map(named, KINDS)).alias("all"))
 
 
 def _line(spans: Column, kind: str | None = None) -> Column:
@@ -302,13 +301,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row."""
     found = find(docs, id_col, text_col)
     base = F.array_join(F.concat(*(_line(F.col(k), k) for k in BASE)), ",")
-    return found.select(id_col, *(F.size(k).cast("long").alias(f"n_{k}") for k in BASE), F.sha2(base, 256).alias("base_sha256"), F.array_join(_line(F.col("all")), ",").alias("spans"))
+    return found.select(F.col("row")[id_col].alias(id_col), *(F.size(k).cast("long").alias(f"n_{k}") for k in BASE), F.sha2(base, 256).alias("base_sha256"), F.array_join(_line(F.col("all")), ",").alias("spans"))
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs with every span of the text replaced by its kind in brackets. Null text stays null."""
-    others = tuple(c for c in docs.columns if c not in (id_col, text_col))
-    found = find(docs.withColumn("_null", F.col(text_col).isNull()), id_col, text_col, (*others, "_null"))
+    found = find(docs, id_col, text_col, tuple(c for c in docs.columns if c != id_col))
     order = F.array_sort(F.transform("all", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
 
     def cut(acc: Column, x: Column) -> Column:
@@ -317,5 +315,5 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], F.when(fresh, F.concat(part, F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise("")).alias("out"))
 
     done = F.aggregate(order, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast("struct<at:int,out:string>"), cut, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    new = F.when(F.col("_null"), F.lit(None)).when(F.size("all") > 0, done).otherwise(F.col("text"))
-    return found.withColumn(text_col, new).select(*docs.columns)
+    new = F.when(F.col("row")[text_col].isNull(), F.lit(None)).when(F.size("all") > 0, done).otherwise(F.col("text"))
+    return found.select(*[new.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -161,7 +161,7 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 6, batch: int = 3
     for _ in range(epochs):
         for at in np.array_split(rng.permutation(train), max(1, len(train) // batch)):
             step += 1
-            parts = [np.append(texts[i], [pad] * over) for i in at]
+            parts = [np.append(texts[i], [pad] * (over + 1)) for i in at]
             ids = np.concatenate(parts)
             ends = np.cumsum([len(p) for p in parts])
             x = m.emb[feats[ids]].sum(1)
@@ -169,7 +169,7 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 6, batch: int = 3
             pooled, where = [], []
             for i, w in enumerate(WIDTHS):
                 z = sum(x[k : len(x) - over + k] @ m.filters[i][k] for k in range(w)) + m.bias[i]
-                best = [(e - len(p)) + z[e - len(p) : max(e - over, e - len(p) + 1)].argmax(0) for e, p in zip(ends, parts, strict=True)]
+                best = [(e - len(p)) + z[e - len(p) : max(e - over - 1, e - len(p) + 1)].argmax(0) for e, p in zip(ends, parts, strict=True)]
                 where.append(np.array(best).clip(0, len(z) - 1))
                 pooled.append(np.maximum(z[where[-1], np.arange(FILTERS)], 0))
             pool = np.hstack(pooled)
@@ -219,9 +219,9 @@ def _calibrate(m: Model, rows: list[tuple[str, int, str | None]], least: int = 1
 
     def best(part: list[tuple[float, int, int]]) -> float | None:
         z, y = np.array([p[0] for p in part]), np.array([p[2] for p in part])
-        if not len(z) or y.sum() < 1 or y.all():
+        low = np.unique(z)
+        if len(low) < 2 or y.sum() < 1 or y.all():
             return None
-        low = np.sort(np.unique(z))
         # Cuts between neighbours; of equally good ones, the middle of the run.
         cuts = (low[1:] + low[:-1]) / 2
         f1 = np.array([2 * y[z >= c].sum() / ((z >= c).sum() + y.sum()) for c in cuts])
