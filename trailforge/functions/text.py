@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailforge.functions.constants import CHUNK_SIZE, CHUNK_STEP, ERROR_TEXT, MIN_CONTEXT, NEWS_HOSTS, PII_PATTERNS, REDACTED, RESEARCH_HOSTS, RESEARCH_TEXT, TEMPLATES
@@ -19,13 +19,18 @@ def redact(text: Column) -> Column:
     return text
 
 
-def redact_with_flags(text: Column) -> tuple[Column, Column]:
-    """The redacted text, and the names of patterns that the text matched as redacted so far."""
-    flags = []
-    for name, p in PII_PATTERNS:
-        flags.append(F.when(text.rlike(_java(p)), F.lit(name)))
-        text = F.regexp_replace(text, _java(p), REDACTED)
-    return text, F.array_compact(F.array(*flags))
+def with_redaction(rows: DataFrame, col: str, out: str, flags: str) -> DataFrame:
+    """Adds the redacted text, and the names of the patterns that matched the text as redacted so far.
+
+    Each step is a column of its own: as one nested expression, every flag would redact anew.
+    """
+    kept = rows.columns
+    rows = rows.withColumn("_r0", F.col(col))
+    for i, (_, p) in enumerate(PII_PATTERNS):
+        rows = rows.withColumn(f"_r{i + 1}", F.regexp_replace(f"_r{i}", _java(p), REDACTED))
+    # No pattern matches what a replacement leaves as it was, so a change is a match.
+    found = F.array_compact(F.array(*[F.when(F.col(f"_r{i}") != F.col(f"_r{i + 1}"), F.lit(n)) for i, (n, _) in enumerate(PII_PATTERNS)]))
+    return rows.select(*[c for c in kept if c not in (out, flags)], F.col(f"_r{len(PII_PATTERNS)}").alias(out), F.when(F.col("_r0").isNotNull(), found).alias(flags))
 
 
 def has_pii(text: Column) -> Column:

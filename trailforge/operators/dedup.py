@@ -24,7 +24,7 @@ def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR
     Prefix filter: in a global order of words (rare first), two sets that are similar enough share a word in their first
     |x| - ceil(over * |x|) + 1 words. Equal sets are one class until the pairs are made.
     """
-    sets = rows.select(F.col(id_col).alias("id"), F.array_sort(tokens(text)).alias("w")).where(F.size("w") > 0).withColumn("k", F.xxhash64("w"))
+    sets = cut(rows.select(F.col(id_col).alias("id"), F.array_sort(tokens(text)).alias("w")).where(F.size("w") > 0).withColumn("k", F.xxhash64("w")))
     classes = sets.groupBy("k").agg(F.first("w").alias("w"), F.size(F.first("w")).alias("n"))
     words = classes.select("k", F.explode("w").alias("word"))
     seen = words.groupBy("word").count()
@@ -44,7 +44,7 @@ def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR
     return across.unionByName(inside).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "similarity")
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Cut lineage by a table in the shared folder."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -61,9 +61,9 @@ def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_D
 
     In rounds: a row whose earlier neighbours are all dropped is kept; one with a kept earlier neighbour is dropped.
     """
-    pairs = _cut(similar_pairs(rows, id_col, text, over).select("a", "b"))
+    pairs = cut(similar_pairs(rows, id_col, text, over).select("a", "b"))
     ids = rows.select(F.col(id_col).alias("id"))
-    state = _cut(pairs.select(F.col("b").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
+    state = cut(pairs.select(F.col("b").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
     while state.where("kept is null").limit(1).count():
         # Rows without an earlier neighbour aren't in the table: they are kept.
         earlier = pairs.join(state.select(F.col("id").alias("a"), F.col("kept").alias("ka"), F.lit(True).alias("known")), "a", "left")
@@ -71,5 +71,5 @@ def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_D
             F.coalesce(F.bool_or("ka"), F.lit(False)).alias("hit"), F.count_if(F.col("ka").isNull()).alias("waits")
         )
         new = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("hit"), False).when(F.col("waits") == 0, True)
-        state = _cut(state.join(verdict.withColumnRenamed("b", "id"), "id").select("id", new.alias("kept")))
+        state = cut(state.join(verdict.withColumnRenamed("b", "id"), "id").select("id", new.alias("kept")))
     return ids.join(state, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(True)).alias("kept"))

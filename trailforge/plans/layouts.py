@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trailforge.functions import ids, sft, text, url
 from trailforge.functions import time as T
 from trailforge.functions.constants import MIN_CONTEXT
-from trailforge.operators.dedup import exact_first, greedy_kept
+from trailforge.operators.dedup import cut, exact_first, greedy_kept
 from trailforge.operators.sampling import mersenne_split, rank_split
 
 META = ("title", "channel", "publishDate", "duration", "views", "keywords")
@@ -78,14 +78,15 @@ def pages_to_examples(pages: DataFrame, order: str = "page_id", rules: list[str]
     """
     p = pages.withColumn("canon", url.canonical(F.col("url")))
     p = p.withColumn("domain", url.etld1(url.authority(F.col("canon")), rules or [], exceptions or []))
-    p = p.withColumn("raw_flags", text.redact_with_flags(F.col("text"))[1]).withColumn("clean", text.clean(F.col("text")))
-    again, flags = text.redact_with_flags(F.col("clean"))
-    p = p.withColumn("clean", again).withColumn("pii_flags", flags)
+    # The text is redacted while it is cleaned, and once more for the flags, which are therefore those that are left.
+    p = text.with_redaction(p.withColumn("clean", text.clean(F.col("text"))), "clean", "clean", "pii_flags")
     p = p.withColumn("drop_reason", F.when(F.col("text").isNull(), "no_cache").when(F.length("clean") < MIN_CONTEXT, "too_short").when(text.has_pii(F.col("clean")), "high_risk_pii"))
     fine = p.where("drop_reason is null").withColumn("topic", text.topic(F.col("domain"), F.col("clean"))).withColumn("source_id", ids.source_id(F.col("canon"), F.col("title")))
     chunked = fine.withColumn("c", F.explode(text.chunks(F.col("clean"))))
     made = chunked.withColumn("chunk", F.col("c.chunk")).select("*", F.posexplode(text.templates(F.col("topic"), F.col("domain"), F.col("chunk"))).alias("tno", "instruction"))
     made = made.withColumn("ord", F.col(order).cast("long") * (1 << 24) + F.col("c.idx") * 8 + F.col("tno")).drop("c")
+    # Cleaning is the costly part: its result is written once, and de-duplication reads it as often as it needs to.
+    made = cut(made.select("ord", "tno", "instruction", "chunk", "canon", "title", "domain", "topic", "source_id", "pii_flags"))
     once = exact_first(made, F.sha2(F.concat("instruction", F.lit("|"), "chunk"), 256), "ord")
     if mode == "compat":
         kept = once.join(greedy_kept(once, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi")

@@ -241,7 +241,8 @@ _FLAGS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({_redacted('text
 
 @query(f"SELECT doc_id, array_to_string({_FLAGS}, ',') AS flags FROM documents")
 def pii_flags_sequential(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", F.array_join(text.redact_with_flags(F.col("text"))[1], ",").alias("flags"))
+    d = text.with_redaction(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "redacted", "flags")
+    return d.select("doc_id", F.array_join("flags", ",").alias("flags"))
 
 
 @query("SELECT doc_id, (" + " OR ".join(f"regexp_matches(text, {_q(p)})" for _, p in C.PII_PATTERNS) + ") AS has_pii FROM documents")
