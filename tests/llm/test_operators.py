@@ -309,8 +309,8 @@ def test_lm_is_a_distribution_and_equals_brute_force(spark):
             total += p
             q = lambda k, num, den: max(num - lm.DISCOUNT, 0) / den if num >= lm.LEAST else 0
             p1 = (c1[w] - d) / n if c1[w] else d * v / n
-            q2 = {x: q(2, c2[ctx[1], x], c1[ctx[1]]) for x in h}
-            q3 = {x: q(3, c3[(*ctx, x)], c2[ctx]) for x in h} if c2[ctx] >= lm.LEAST else dict.fromkeys(h, 0)
+            q2 = {x: q(c2[ctx[1], x], c1[ctx[1]]) for x in h}
+            q3 = {x: q(c3[(*ctx, x)], c2[ctx]) for x in h} if c2[ctx] >= lm.LEAST else dict.fromkeys(h, 0.0)
             want = q3[w] + (1 - sum(q3.values())) * (q2[w] + (1 - sum(q2.values())) * p1)
             assert want < 1e-3 or want * 0.85 < p < want * 1.15
         assert 0.7 < total <= 1.0 + 1e-9
