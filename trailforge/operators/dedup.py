@@ -18,13 +18,17 @@ def exact_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
     return rows.join(first, order, "left_semi")
 
 
-def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_DUP) -> DataFrame:
-    """a < b, similarity: pairs whose word sets have a Jaccard similarity over the threshold.
+def word_sets(rows: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """id, w, k: distinct words in order and their hash, of rows that have words."""
+    return cut(rows.select(F.col(id_col).alias("id"), F.array_sort(tokens(text)).alias("w")).where(F.size("w") > 0).withColumn("k", F.xxhash64("w")))
+
+
+def similar_classes(sets: DataFrame, over: float) -> DataFrame:
+    """ka < kb, similarity: pairs of different word sets whose Jaccard similarity is over the threshold.
 
     Prefix filter: in a global order of words (rare first), two sets that are similar enough share a word in their first
-    |x| - ceil(over * |x|) + 1 words. Equal sets are one class until the pairs are made.
+    |x| - ceil(over * |x|) + 1 words.
     """
-    sets = cut(rows.select(F.col(id_col).alias("id"), F.array_sort(tokens(text)).alias("w")).where(F.size("w") > 0).withColumn("k", F.xxhash64("w")))
     classes = sets.groupBy("k").agg(F.first("w").alias("w"), F.size(F.first("w")).alias("n"))
     words = classes.select("k", F.explode("w").alias("word"))
     seen = words.groupBy("word").count()
@@ -36,10 +40,15 @@ def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR
     cand = a.join(b, "word").where((F.col("ka") < F.col("kb")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(over))).select("ka", "kb").distinct()
     wa, wb = (classes.select(F.col("k").alias(f"k{x}"), F.col("w").alias(f"w{x}")) for x in "ab")
     common = F.size(F.array_intersect("wa", "wb"))
-    checked = cand.join(wa, "ka").join(wb, "kb").select("ka", "kb", (common / (F.size("wa") + F.size("wb") - common)).alias("similarity")).where(F.col("similarity") > over)
+    return cand.join(wa, "ka").join(wb, "kb").select("ka", "kb", (common / (F.size("wa") + F.size("wb") - common)).alias("similarity")).where(F.col("similarity") > over)
+
+
+def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_DUP) -> DataFrame:
+    """a < b, similarity: all pairs of rows over the threshold. Rows of equal sets are compared once, and paired at the end."""
+    sets = word_sets(rows, id_col, text)
     ids = sets.select("id", "k")
     ia, ib = (ids.select(F.col("id").alias(f"i{x}"), F.col("k").alias(f"k{x}")) for x in "ab")
-    across = checked.join(ia, "ka").join(ib, "kb").select("ia", "ib", "similarity")
+    across = similar_classes(sets, over).join(ia, "ka").join(ib, "kb").select("ia", "ib", "similarity")
     inside = ia.join(ids.select(F.col("id").alias("ib"), F.col("k").alias("ka")), "ka").where("ia < ib").select("ia", "ib", F.lit(1.0).alias("similarity"))
     return across.unionByName(inside).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "similarity")
 
@@ -59,9 +68,15 @@ def cut(df: DataFrame) -> DataFrame:
 def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_DUP) -> DataFrame:
     """id, kept: what a scan in the order of ids keeps, that drops a row if a row kept earlier is too similar.
 
-    In rounds: a row whose earlier neighbours are all dropped is kept; one with a kept earlier neighbour is dropped.
+    Of rows with equal word sets only the first can be kept: what drops it drops the others, and if it stays, it drops
+    them. So the rounds run over the first rows of the sets, and no pairs of copies are made. In each round, a row whose
+    earlier neighbours are all dropped is kept; one with a kept earlier neighbour is dropped.
     """
-    pairs = cut(similar_pairs(rows, id_col, text, over).select("a", "b"))
+    sets = word_sets(rows, id_col, text)
+    first = cut(sets.groupBy("k").agg(F.min("id").alias("first")))
+    fa, fb = (first.select(F.col("k").alias(f"k{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+    between = similar_classes(sets, over).join(fa, "ka").join(fb, "kb")
+    pairs = cut(between.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")))
     ids = rows.select(F.col(id_col).alias("id"))
     state = cut(pairs.select(F.col("b").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
     while state.where("kept is null").limit(1).count():
@@ -72,4 +87,5 @@ def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_D
         )
         new = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("hit"), False).when(F.col("waits") == 0, True)
         state = cut(state.join(verdict.withColumnRenamed("b", "id"), "id").select("id", new.alias("kept")))
-    return ids.join(state, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(True)).alias("kept"))
+    copies = sets.join(first, "k").where("id <> first").select("id", F.lit(False).alias("kept"))
+    return ids.join(state.unionByName(copies), "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(True)).alias("kept"))
