@@ -307,12 +307,13 @@ def test_lm_is_a_distribution_and_equals_brute_force(spark):
             docs_ = np.array([h[ctx[0]], h[ctx[1]], h[w]], np.int64)
             p = 10 ** (m.score([docs_])[3][0] - m.score([docs_[:2]])[3][0])
             total += p
-            q = lambda k, num, den: max(num - lm.DISCOUNT, 0) / den if num >= lm.LEAST else 0
+            code = lambda x: float(lm.CODE[lm.quantise(np.array([x]))[0]])
+            q = lambda num, den: code((num - lm.DISCOUNT) / den) if num >= lm.LEAST else 0.0
             p1 = (c1[w] - d) / n if c1[w] else d * v / n
             q2 = {x: q(c2[ctx[1], x], c1[ctx[1]]) for x in h}
             q3 = {x: q(c3[(*ctx, x)], c2[ctx]) for x in h} if c2[ctx] >= lm.LEAST else dict.fromkeys(h, 0.0)
-            want = q3[w] + (1 - sum(q3.values())) * (q2[w] + (1 - sum(q2.values())) * p1)
-            assert want < 1e-3 or want * 0.85 < p < want * 1.15
+            rest = [code(max(1 - sum(x.values()), 1e-7)) for x in (q2, q3)]
+            assert p == pytest.approx(q3[w] + rest[1] * (q2[w] + rest[0] * p1), rel=1e-6)
         assert 0.7 < total <= 1.0 + 1e-9
 
 

@@ -375,9 +375,9 @@ def learn(docs: DataFrame, train: Column | None, text_col: str = "text") -> dict
     common = counts.where(F.col("c") >= max(LEAST, SHARE[2] * n)).orderBy(F.desc("c"), "h").collect()
     hashes, freq = np.array([r["h"] for r in common], np.int64), np.array([r["c"] for r in common], np.int64)
     most = {2: len(hashes), 3: int((freq >= SHARE[3] * n).sum())}
-    shards = SHARDS
     held, firsts = spark.sparkContext.broadcast((hashes, most)), spark.sparkContext.broadcast(freq)
-    grams = _grams(texts, held)
+    grams = written(_grams(texts, held), "grams")
+    shards = _shards(grams.count())
     first = F.when(F.col("level") == 2, F.shiftright("key", BITS)).otherwise(F.shiftright("key", 2 * BITS))
     keyed = grams.select((first % shards).cast("int").alias("shard"), (F.shiftleft(F.col("level").cast("long"), 60).bitwiseOR(F.col("key"))).alias("key"), "c")
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
