@@ -84,4 +84,40 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_toxicity, op7_lm_scores, op8_warc, op9_nearest_neighbours, op10_pii)}
 
-ORACLE_SQL: dict[str, str] = {}
+# --- SQL for the queries whose rows it can give; the others are tested against brute force or the libraries ------------
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP2 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(1, len(w) - 3) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS s FROM w WHERE len(w) > 0),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c WHERE 100 * k >= 80 * (na + nb - k)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, m.b AS component_id, d.doc_id = m.b AS kept
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = d.doc_id
+"""
+
+_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_OP4 = f"""
+WITH i AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+v AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p:p + 9], ' ') AS g FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS p FROM i WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+h AS (SELECT p.doc_id, p.p, v.n, v.item FROM p JOIN (SELECT DISTINCT n FROM v) z ON p.p + z.n - 1 <= len(p.w) JOIN v ON v.n = z.n AND v.g = array_to_string(p.w[p.p:p.p + z.n - 1], ' ')),
+a AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM h) GROUP BY 1),
+b AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(a.n, 0)::BIGINT AS n_hit, coalesce(b.n, 0)::BIGINT AS n_items, sha256(coalesce(b.items, '')) AS items_sha256, coalesce(a.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id LEFT JOIN b ON b.doc_id = d.doc_id
+"""
+
+_OP8 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages), f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (h)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash_near_dedup": _OP2, "op4_decontamination": _OP4, "op8_warc": _OP8}
