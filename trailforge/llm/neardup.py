@@ -31,7 +31,7 @@ from trailforge.llm.graph import components
 
 BINS, ROWS = 128, 4
 #: Shingles of one block of a family in ``_rest``; a task holds two blocks.
-BLOCK_SHINGLES = 1 << 18
+BLOCK_SHINGLES = 1 << 16
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _RNG = np.random.default_rng(20240229)
@@ -155,14 +155,15 @@ def links(docs: DataFrame, classes: DataFrame, size: int, per_cent: int, id_col:
     joined = edges.join(a, "a").join(b, "b").where(F.least(F.size("ha"), F.size("hb")) * 100 >= F.greatest(F.size("ha"), F.size("hb")) * per_cent)
     both = joined.select("a", "b", sized.alias("both"), F.size(F.array_intersect("ha", "hb")).alias("common"))
     found = written(both.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * per_cent).select("a", "b"), "links")
-    more = _rest(edges, found, sets, classes, per_cent)
-    return found.unionByName(more)
+    inner = written(components(found), "inner")
+    more = _rest(edges, inner.withColumnRenamed("root", "comp"), sets, classes, per_cent)
+    # The components so far stand for their links.
+    return inner.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
 
 
-def _rest(edges: DataFrame, found: DataFrame, sets: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
-    """Links across the components of a family that no star could show."""
+def _rest(edges: DataFrame, inner: DataFrame, sets: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
+    """Links across the components (node, comp) of a family that no star could show."""
     family = components(edges).withColumnRenamed("root", "family")
-    inner = components(found).withColumnRenamed("root", "comp")
     at = family.join(inner, "node", "left").select("node", "family", F.coalesce("comp", "node").alias("comp"))
     open_ = at.groupBy("family").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("n > 2 and lo <> hi").select("family")
     rows = at.join(open_, "family").join(sets, "node").join(classes.select("node", "bands"), "node")
@@ -175,7 +176,8 @@ def _rest(edges: DataFrame, found: DataFrame, sets: DataFrame, classes: DataFram
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(across(pdf, per_cent), columns=["a", "b"]).astype("int64")
 
-    return rows.groupBy("family", "i", "j").applyInPandas(test, "a long, b long")
+    # Dealt by block, not by family: a large family's blocks go to many tasks.
+    return rows.repartition("family", "i", "j").groupBy("family", "i", "j").applyInPandas(test, "a long, b long")
 
 
 def across(pdf: pd.DataFrame, per_cent: int) -> list[tuple[int, int]]:
