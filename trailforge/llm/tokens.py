@@ -33,7 +33,7 @@ OVERLAP_CHARS = 256
 #: A pre-token's end looks at most one character ahead; a boundary needs this many more characters in its chunk.
 GUARD = 4
 #: Distinct pieces kept in a worker's memory; when it is full the memory starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 700_000
 
 # Letters and numbers among the characters the fast path accepts: categories L and N up to U+024F.
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"

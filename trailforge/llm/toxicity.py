@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from trailforge.llm.common import Batches, small_batches, texts_of
 
 #: Most labelled rows of either class that a model is fitted on.
-MAX_PER_CLASS = 3000
+MAX_PER_CLASS = 2000
 #: Score from which a text is predicted toxic.
 DECISION = 0.7
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 8, (1, 2, 3)
@@ -136,9 +136,13 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 6, batch: int = 3
     m.emb = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
     m.out = np.abs(rng.normal(0.5, 0.1, FILTERS * len(WIDTHS))).astype(np.float32)
     vocabulary: dict[str, int] = {}
-    texts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(r[0])], np.int64) for r in rows]
-    feats = np.vstack([features(list(vocabulary)), np.zeros((1, 3), np.int64)])
-    pad = len(feats) - 1
+    texts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(r[0])], np.int32) for r in rows]
+    known, pad = list(vocabulary), len(vocabulary)
+    del vocabulary
+    feats = np.zeros((pad + 1, 3), np.int32)
+    for i in range(0, pad, 1 << 15):  # in parts, since the ids of a part are Python numbers for a while
+        feats[i : i + (1 << 15)][: len(known) - i] = features(known[i : i + (1 << 15)])
+    del known
     _languages(m, rows, texts, feats)
     # Buckets that few fitted texts have stay at zero: they could only learn those texts by heart.
     seen = np.bincount(np.concatenate([np.unique(feats[t].ravel()) for t in texts if len(t)] or [np.empty(0, np.int64)]), minlength=BUCKETS) >= MIN_TEXTS
