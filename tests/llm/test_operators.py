@@ -317,6 +317,33 @@ def test_lm_is_a_distribution_and_equals_brute_force(spark):
         assert 0.7 < total <= 1.0 + 1e-9
 
 
+def test_lm_keeps_ngrams_of_rare_words(spark):
+    """60,000 words with 1 / 60,000 of all tokens each: every n-gram that occurs twice is in the model, whatever its words' share."""
+    lines = [[f"w{i}" for i in range(s, s + 50)] for s in range(0, 60_000, 50)]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines + lines)], "doc_id long, text string")
+    made = lm.learn(df, None)
+    m = lm.Model(*made.values())
+    n, d = 120_000 + 2400, made["stats"]["d"]
+    code = lambda x: float(lm.CODE[lm.quantise(np.array([x]))[0]])
+    q = code((2 - lm.DISCOUNT) / 2)
+    rest = code(1 - q)
+    second = q + rest * (2 - d) / n
+    for line in lines[:: len(lines) // 40]:
+        h = np.array([lm.word_hash(w.encode()) for w in line[:3]], np.int64)
+        p = 10 ** np.diff([m.score([h[: i + 1]])[3][0] for i in range(3)])
+        assert p[0] == pytest.approx(second, rel=1e-6)
+        assert p[1] == pytest.approx(q + rest * second, rel=1e-6)
+
+
+def test_lm_pieces_and_long_texts(spark, monkeypatch):
+    """N-grams over the ends of pieces count once each."""
+    df = spark.createDataFrame([(1, "a b c d " * 40), (2, "b c"), (3, "")], "doc_id long, text string").coalesce(1)
+    want = sorted(lm.scores(df, lm.learn(df, None)).collect())
+    monkeypatch.setattr(lm, "PIECE", 7)
+    monkeypatch.setattr(lm, "SCORED", 1)
+    assert sorted(lm.scores(df, lm.learn(df, None)).collect()) == want
+
+
 # 8: WARC
 
 

@@ -7,7 +7,9 @@ import json
 import numpy as np
 
 _U1 = np.uint64(1)
-_BLOCK = 8  # words of 64 bits between two sums of the directory
+# Bytes of a word: the lowest bits, the highest bits; the place of each byte's k-th one.
+_LOW, _TOP = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_PLACE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.uint8)
 
 
 def pack(parts: dict[str, np.ndarray], meta: dict) -> bytes:
@@ -32,25 +34,26 @@ def unpack(raw) -> tuple[dict[str, np.ndarray], dict]:
 
 
 class EliasFano:
-    """A monotone sequence of n values up to u: low bits packed, high bits in unary, a sum of ones for each block."""
+    """A monotone sequence of n values up to u: low bits packed, high bits in unary, a sum of ones for each word."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
         self.n, self.l, self.low, self.high, self.ones = n, low_bits, low, high, ones
+        self.zeros = np.arange(len(ones)) * 64 - ones
 
     @staticmethod
     def build(values: np.ndarray) -> "EliasFano":
         v = values.astype(np.uint64)
         n, top = len(v), int(v[-1]) if len(v) else 0
         low_bits = max(0, (top // n).bit_length() - 1) if n else 0
-        places = np.arange(low_bits, dtype=np.uint64)
-        bits = ((v[:, None] >> places) & _U1).astype(np.uint8).ravel()
-        low = _words(bits)
+        bits = np.empty((n, low_bits), np.uint8)
+        for i in range(low_bits):
+            bits[:, i] = (v >> np.uint64(i)) & _U1
+        low = _words(bits.ravel())
         marks = np.zeros(n + (top >> low_bits) + 2, np.uint8)
         marks[(v >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)] = 1
         high = _words(marks)
-        high = np.append(high, np.zeros(-len(high) % _BLOCK + _BLOCK, np.uint64))
-        sums = np.bitwise_count(high).reshape(-1, _BLOCK).sum(1, dtype=np.int64)
-        return EliasFano(n, low_bits, low, high, np.concatenate(([0], np.cumsum(sums))))
+        sums = np.cumsum(np.bitwise_count(high), dtype=np.int64)
+        return EliasFano(n, low_bits, low, high, np.concatenate(([0], sums)))
 
     def parts(self, name: str) -> tuple[dict[str, np.ndarray], dict]:
         return {f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones}, {name: (self.n, self.l)}
@@ -70,23 +73,16 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, one: bool) -> np.ndarray:
         """Place of the k-th (from 0) one or zero of the high bits."""
-        before = self.ones if one else np.arange(len(self.ones)) * (64 * _BLOCK) - self.ones
-        b = np.searchsorted(before, k, "right") - 1
-        left = k - before[b]
-        words = self.high[b[:, None] * _BLOCK + np.arange(_BLOCK)]
-        words = words if one else ~words
-        sums = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        w = (sums <= left[:, None]).sum(1)
-        row = np.arange(len(k))
-        left = left - np.where(w > 0, sums[row, np.maximum(w - 1, 0)], 0)
-        word, at = words[row, w], np.zeros(len(k), np.uint64)
-        for step in (32, 16, 8, 4, 2, 1):  # halve the word
-            part = (word >> at) & np.uint64((1 << step) - 1)
-            n = np.bitwise_count(part).astype(np.int64)
-            over = left >= n
-            left = np.where(over, left - n, left)
-            at = np.where(over, at + np.uint64(step), at)
-        return (b * _BLOCK + w) * 64 + at.astype(np.int64)
+        before = self.ones if one else self.zeros
+        w = np.searchsorted(before, k, "right") - 1
+        left = (k - before[w]).astype(np.uint64)
+        word = self.high[w] if one else ~self.high[w]
+        x = word - ((word >> _U1) & np.uint64(0x5555555555555555))
+        x = (x & np.uint64(0x3333333333333333)) + ((x >> np.uint64(2)) & np.uint64(0x3333333333333333))
+        sums = ((x + (x >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _LOW  # ones up to each byte
+        shift = np.bitwise_count(((left * _LOW | _TOP) - sums) & _TOP).astype(np.uint64) << np.uint64(3)
+        left -= (sums << np.uint64(8)) >> shift & np.uint64(0xFF)
+        return w * 64 + (shift + _PLACE[word >> shift & np.uint64(0xFF), left]).astype(np.int64)
 
     def access(self, i: np.ndarray) -> np.ndarray:
         if not len(i):

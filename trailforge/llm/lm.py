@@ -1,10 +1,11 @@
 """Language-model scores by an n-gram trie in Elias-Fano coded levels that are mapped from shared files.
 
 Learning counts all tokens of the training texts: sums in each task, then a partial and a final aggregation by 64-bit
-hash. Words with at least ``SHARE[2]`` of all tokens (1 / SHARE of them at most, whatever the corpus) have ids by
-frequency; n-grams of two and three such words that occur ``LEAST`` times or more are the trie's levels.
+hash. N-grams are summed in each task, dealt by their hash in packed rows and added up. Every word has an id, its place in the order of hashes; all n-grams of two and three words that occur ``LEAST``
+times or more are the trie's levels. Words that occur less often can't be in one and are left out before counting.
 
-Files: the vocabulary, in shards by the hash's leading bits, has every word's hash (monotone, Elias-Fano) and count. The
+Files: the vocabulary, in shards by the hash's leading bits, has every word's hash (monotone, Elias-Fano) and count; the
+place there, after the words of the shards before, is the word's id, so a task looks ids up in the mapped files. The
 trie, in shards by the first word, has for each level pointers to the ranges of children (monotone), the children's
 words, made monotone by adding what the range before ended at, and eight-bit logarithms of discounted probabilities and
 of the weight that backing off has. A look-up goes to the range of its context and finds the word's successor there.
@@ -31,14 +32,16 @@ from pyspark.sql import functions as F
 from trailforge.llm.common import Batches, map_file, new_path, put_file, files_at, small_batches, texts_of, written
 from trailforge.llm.eliasfano import EliasFano, pack, unpack
 
-#: Share of all tokens that a word of an n-gram of each length has at least; ids stay under 1 / share.
-SHARE = {2: 2e-5, 3: 2e-4}
+#: Least count of an n-gram of two or three words.
 LEAST, DISCOUNT = 2, 0.75
 #: Entries of a shard at most, about; least number of shards.
 SHARD, SHARDS = 1 << 20, 64
-FLUSH_WORDS, FLUSH_GRAMS = 400_000, 4_000_000
+FLUSH_WORDS = 400_000
 CACHE_WORDS = 400_000
-BITS = 20
+#: Tokens whose n-grams are counted at once (numbers of three of its distinct words fit 63 bits), and tokens scored at once.
+PIECE, SCORED = 1 << 20, 1 << 19
+#: Most n-grams of a bucket, about, that are added up at once.
+BUCKET = 1 << 22
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 #: Codes of eight bits: 0 for none, else 2 ** (-(code - 1) / 10), from 1 down to about 2e-8.
 CODE = np.concatenate(([0.0], 2.0 ** (-np.arange(255) / 10)))
@@ -62,22 +65,25 @@ def quantise(p: np.ndarray) -> np.ndarray:
     return np.where(c > 255, 0, np.maximum(c, 1)).astype(np.uint8)
 
 
+class _Known(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = word_hash(word)
+        return h
+
+
 class Hashes:
     """Hashes of words, with a memory of bounded size."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.known = _Known()
 
     def of(self, tokens: list[bytes]) -> np.ndarray:
-        found = list(map(self.known.get, tokens))
-        if None in found:
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            for w in tokens:
-                if w not in self.known:
-                    self.known[w] = word_hash(w)
-            found = list(map(self.known.get, tokens))
-        return np.array([*found, END], np.int64)
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        out = np.empty(len(tokens) + 1, np.int64)
+        out[:-1] = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        out[-1] = END
+        return out
 
 
 def _counts(texts: DataFrame) -> DataFrame:
@@ -108,75 +114,160 @@ def _counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("c")).where("c > 0")
 
 
-def _windows(ids: np.ndarray, n: int, most: int) -> np.ndarray:
-    """Keys of the n-grams of n words whose ids are 1..most. A 0 breaks; ids are of BITS bits."""
-    fine = (ids > 0) & (ids <= most)
-    key = np.zeros(max(0, len(ids) - n + 1), np.int64)
-    ok = np.ones(len(key), bool)
-    for i in range(n):
-        part = ids[i : i + len(key)]
-        key = key << BITS | part
-        ok &= fine[i : i + len(key)]
-    return key[ok]
+class Vocabulary:
+    """Ids, from 1 in the order of hashes, and counts of all words, by the mapped files."""
 
+    def __init__(self, folder: str, stats: dict):
+        self.folder, self.bits, self.starts = folder, stats["bits"], np.array(stats["starts"], np.int64)
 
-class Vocabulary:
-    """Ids of the frequent words: 1 for the most frequent."""
+    def _files(self, shard: np.ndarray):
+        order = np.argsort(shard, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+            if len(at) and (found := _open(self.folder, f"words-{shard[at[0]]}.bin")):
+                yield at, *found
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of distinct hashes, 0 for unknown ones."""
+        bits, u = np.uint64(self.bits), h.view(np.uint64)
+        shard = (u >> (np.uint64(64) - bits)).astype(np.int64)
+        ids, counts = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        for at, arrays, ef in self._files(shard):
+            i = ef["h"].find((u[at] << bits) >> bits)
+            at, i = at[i >= 0], i[i >= 0]
+            ids[at], counts[at] = self.starts[shard[at]] + i + 1, arrays["c"][i]
+        return ids, counts
+
+    def counts(self, ids: np.ndarray) -> np.ndarray:
+        shard = np.searchsorted(self.starts, ids - 1, "right") - 1
+        out = np.zeros(len(ids), np.int64)
+        for at, arrays, _ in self._files(shard):
+            out[at] = arrays["c"][ids[at] - 1 - self.starts[shard[at]]]
+        return out
 
-    def __init__(self, hashes: np.ndarray, most: dict[int, int]):
-        order = np.argsort(hashes)
-        self.h, self.id, self.most = hashes[order], (order + 1).astype(np.int64), most
 
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.h):
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        return np.where(self.h[at] == h, self.id[at], 0)
+def _ngrams(h: np.ndarray, starts: int, vocabulary: Vocabulary):
+    """Words' ids (the third is 0 for pairs) and counts of the n-grams that begin at the first places. A text ends with END."""
+    distinct, at = np.unique(h, return_inverse=True)
+    ids, counts = vocabulary.find(distinct)
+    ok = (counts >= LEAST)[at]
+    inner = ok & (h != END)
+    bits = len(distinct).bit_length()
+    for n in (2, 3):
+        m = max(0, min(starts, len(h) - n + 1))
+        key, fine = np.zeros(m, np.int64), ok[n - 1 : n - 1 + m].copy()
+        for i in range(n):
+            key = key << bits | at[i : i + m]
+            if i < n - 1:
+                fine &= inner[i : i + m]
+        key, c = np.unique(key[fine], return_counts=True)
+        words_ = [ids[key >> (bits * (n - 1 - i)) & ((1 << bits) - 1)] for i in range(n)]
+        yield (*words_, *[np.zeros(len(key), np.int64)] * (3 - n), c)
+
+
+def _packed(columns: tuple[np.ndarray, ...]) -> tuple[int, bytes]:
+    """Bytes of a number, and four columns by planes of bytes, compressed. The first holds differences."""
+    a = np.stack(columns).astype(np.uint32 if max(x.max() for x in columns) < 1 << 32 else np.uint64)
+    a[0] = np.diff(a[0], prepend=a.dtype.type(0))
+    width = a.dtype.itemsize
+    return width, pa.Codec("zstd", 1).compress(a.view(np.uint8).reshape(4, -1, width).transpose(0, 2, 1).tobytes(), asbytes=True)
+
+
+def _unpacked(width: int, rows: int, data: bytes) -> np.ndarray:
+    raw = np.frombuffer(pa.Codec("zstd", 1).decompress(data, 4 * width * rows, asbytes=True), np.uint8)
+    a = np.ascontiguousarray(raw.reshape(4, width, rows).transpose(0, 2, 1)).view(np.uint32 if width == 4 else np.uint64)[:, :, 0].copy()
+    a[0] = np.cumsum(a[0], dtype=a.dtype)
+    return a.astype(np.int64)
+
+
+def _sorted(x: np.ndarray, y: np.ndarray, number: bool = False):
+    """Order that brings equal pairs together and where new ones begin in it, or the pairs' numbers. x is numbered where the two don't fit."""
+    if x.max() >= 1 << 31 or y.max() >= 1 << 32:
+        x, y = (np.unique(v, return_inverse=True)[1] for v in (x, y))
+    key = x << 32 | y
+    order = np.argsort(key)
+    new = np.diff(key[order], prepend=-1) != 0
+    if not number:
+        return order, new
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def _bucket(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, buckets: int) -> np.ndarray:
+    x = np.zeros(len(w1), np.uint64)
+    for w in (w1, w2, w3):
+        x = (x ^ w.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+    return (x % np.uint64(buckets)).astype(np.int32)
+
+
+def _grams(texts: DataFrame, folder: str, stats: dict) -> DataFrame:
+    """w1, w2, w3, c of the n-grams that occur LEAST times or more; w3 is 0 for pairs.
+
+    A task sums up its pieces and deals the n-grams to buckets by their hash; a bucket's part of a piece is one row.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * max(1, -(-2 * stats["n"] // (parts * BUCKET)))
+
+    def count(batches: Batches) -> Batches:
+        vocabulary, hashes = Vocabulary(folder, stats), Hashes()
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out():
+            h = np.concatenate(held)
+            for s in range(0, len(h), PIECE):
+                for *words_, c in _ngrams(h[s : s + PIECE + 2], PIECE, vocabulary):
+                    bucket = _bucket(*words_, buckets)
+                    order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+                    columns, bucket = [x[order] for x in (*words_, c)], bucket[order]
+                    ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
+                    rows = [(int(bucket[a]), int(b - a), *_packed(tuple(x[a:b] for x in columns))) for a, b in zip([0, *ends[:-1]], ends, strict=True)] if len(bucket) else []
+                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows) if rows else [()] * 4, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "n", "width", "data"])
 
+        for b in batches:
+            for t in texts_of(b):
+                held.append(hashes.of(words(t)))
+                size += len(held[-1])
+                if size >= PIECE:
+                    yield from out()
+                    held.clear()
+                    size = 0
+        if held:
+            yield from out()
 
-def _grams(texts: DataFrame, held) -> DataFrame:
-    """level, key, c of the n-grams of frequent words."""
+    def add(batches: Batches) -> Batches:
+        now, held = None, []
 
-    def run(batches: Batches) -> Batches:
-        vocabulary, hashes = Vocabulary(*held.value), Hashes()
-        sums: dict[int, list] = {n: [] for n in vocabulary.most}
-
-        def flush(n: int):
-            k = np.concatenate([x for x, _ in sums[n]])
-            keys, inverse = np.unique(k, return_inverse=True)
-            c = np.bincount(inverse, np.concatenate([x for _, x in sums[n]])).astype(np.int64)
-            sums[n] = [(keys, c)]
-
-        def out(n: int):
-            keys, c = sums[n][0]
-            sums[n] = []
-            for i in range(0, len(keys), 1 << 16):
-                part = keys[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), n, np.int32)), pa.array(part), pa.array(c[i : i + (1 << 16)])], names=["level", "key", "n"])
+        def out():
+            w1, w2, w3, c = np.concatenate(held, axis=1)
+            order, new = _sorted(_sorted(w1, w2, True), w3)
+            first = np.flatnonzero(new)
+            c = np.add.reduceat(c[order], first)
+            cols = [x[order[first[c >= LEAST]]] for x in (w1, w2, w3)] + [c[c >= LEAST]]
+            for i in range(0, len(cols[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in cols], names=["w1", "w2", "w3", "c"])
 
         for b in batches:
-            ids = np.concatenate([np.append(vocabulary.ids(hashes.of(words(t))), 0) for t in texts_of(b)] or [np.zeros(0, np.int64)])
-            for n, most in vocabulary.most.items():
-                keys, c = np.unique(_windows(ids, n, most), return_counts=True)
-                sums[n].append((keys, c))
-                if sum(len(x) for x, _ in sums[n]) > FLUSH_GRAMS:
-                    flush(n)
-                    if len(sums[n][0][0]) > FLUSH_GRAMS // 2:
-                        yield from out(n)
-        for n in sums:
-            if sums[n]:
-                flush(n)
-                yield from out(n)
-
-    return texts.mapInArrow(run, "level int, key long, n long").groupBy("level", "key").agg(F.sum("n").alias("c")).where(F.col("c") >= LEAST)
+            for bucket, n, width, data in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if held and bucket != now:
+                    yield from out()
+                    held.clear()
+                now = bucket
+                held.append(_unpacked(width, n, data))
+        if held:
+            yield from out()
+
+    dealt = texts.mapInArrow(count, "bucket int, n int, width int, data binary").repartitionById(parts, F.col("bucket") % parts)
+    return dealt.sortWithinPartitions("bucket").mapInArrow(add, "w1 long, w2 long, w3 long, c long")
 
 
 def _shards(n: int) -> int:
     return max(SHARDS, 1 << max(0, (-(-n // SHARD) - 1).bit_length()))
 
 
-def _write(rows: DataFrame, folder: str, make) -> None:
-    """rows: shard first, then two columns of numbers, sorted in each shard. make(shard, a, b): name and bytes of its file."""
+def _write(rows: DataFrame, folder: str, name: str, make) -> DataFrame:
+    """rows: shard first, then columns of numbers, shards in order. make(shard, *columns): name and bytes of its file. Gives the manifest."""
 
     def run(batches: Batches) -> Batches:
         from pyspark import TaskContext
@@ -185,23 +276,26 @@ def _write(rows: DataFrame, folder: str, make) -> None:
         now, held = None, []
 
         def put():
-            name, data = make(now, *(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            name, data = make(now, *columns)
             put_file(folder, name, data, attempt)
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(data)], pa.int64())], names=["file", "bytes"])
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(data)], pa.int64()), pa.array([now], pa.int64()), pa.array([len(columns[0])], pa.int64())], names=["file", "bytes", "shard", "entries"])
 
         for b in batches:
-            shard, x, y = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            shard, *columns = (c.to_numpy(zero_copy_only=False) for c in b.columns)
             for at in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
                 if len(at):
                     if held and shard[at[0]] != now:
                         yield put()
                         held = []
                     now = int(shard[at[0]])
-                    held.append((x[at], y[at]))
+                    held.append([x[at] for x in columns])
         if held:
             yield put()
 
-    rows.mapInArrow(run, "file string, bytes long").write.parquet(f"{folder}/manifest-{rows.columns[1]}")
+    kind = "file string, bytes long, shard long, entries long"
+    rows.mapInArrow(run, kind).write.parquet(f"{folder}/manifest-{name}")
+    return rows.sparkSession.read.schema(kind).parquet(f"{folder}/manifest-{name}")
 
 
 def _vocabulary_file(bits: int):
@@ -215,41 +309,35 @@ def _vocabulary_file(bits: int):
     return make
 
 
-def _trie_file(held, shards: int):
+def _trie_file(folder: str, stats: dict, shards: int):
     """File of the n-grams whose first word is shard modulo shards. Level 1 is the first words, by their number in the shard."""
 
-    def make(shard: int, key: np.ndarray, c: np.ndarray) -> tuple[str, bytes]:
-        first_counts = held.value
-        local = -(-(len(first_counts) + 1) // shards) + 1
+    def make(shard: int, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, c: np.ndarray) -> tuple[str, bytes]:
+        order = np.lexsort((w3, w2, w1))
+        w1, w2, w3, c = (x[order] for x in (w1, w2, w3, c))
+        pair = w3 == 0
+        above = np.cumsum(pair) - 1  # a pair stands before its triples: it occurs as often as they do, or more
+        first, back = np.unique(w1[pair], return_inverse=True)
+        first_c = Vocabulary(folder, stats).counts(first)[back]
         parts: dict[str, np.ndarray] = {}
         meta: dict = {}
-        level, mask = key >> 60, (1 << 60) - 1
-        key = key & mask
-        above = np.arange(local, dtype=np.int64) * shards + shard  # keys of the contexts, in order
-        above_c = np.array([first_counts[i - 1] if 0 < i <= len(first_counts) else 0 for i in above], np.float64)
-        for n in (2, 3):
-            k, count = key[level == n], c[level == n].astype(np.float64)
-            order = np.argsort(k)
-            k, count = k[order], count[order]
-            context, word = k >> BITS, k & ((1 << BITS) - 1)
-            at = np.searchsorted(above, context)
-            known = (at < len(above)) & (above[np.minimum(at, len(above) - 1)] == context) if len(above) else np.zeros(len(k), bool)
-            k, count, word, at = k[known], count[known], word[known], at[known]
-            begin = np.searchsorted(at, np.arange(len(above) + 1))
-            q = quantise(np.maximum(count - DISCOUNT, 0) / np.maximum(above_c[at], 1)) if len(k) else np.zeros(0, np.uint8)
-            used = np.bincount(at, CODE[q], minlength=len(above)) if len(k) else np.zeros(len(above))
-            rest = quantise(np.maximum(1 - used, 1e-7))
+        levels = (
+            (2, stats["v"] // shards + 1, w1[pair] // shards, w2[pair], c[pair], first_c),
+            (3, int(pair.sum()), above[~pair], w3[~pair], c[~pair], c[pair][above[~pair]]),
+        )
+        for n, contexts, at, word, count, context_c in levels:
+            begin = np.searchsorted(at, np.arange(contexts + 1))
+            q = quantise(np.maximum(count - DISCOUNT, 0) / np.maximum(context_c, 1))
+            rest = quantise(np.maximum(1 - np.bincount(at, CODE[q], minlength=contexts), 1e-7))
             # Monotone words: each range goes on from where the one before ended.
-            ends = np.zeros(len(above) + 1, np.int64)
+            ends = np.zeros(contexts + 1, np.int64)
             some = np.diff(begin) > 0
             ends[1:] = np.cumsum(np.where(some, word[np.maximum(begin[1:] - 1, 0)] if len(word) else 0, 0))
-            mono = word + ends[at] if len(word) else word
-            for name, values in ((f"p{n}", begin), (f"w{n}", mono)):
+            for name, values in ((f"p{n}", begin), (f"w{n}", word + ends[at])):
                 p, m = EliasFano.build(values).parts(name)
                 parts |= p
                 meta |= m
             parts |= {f"q{n}": q, f"r{n}": rest}
-            above, above_c = k, count
         return f"grams-{shard}.bin", pack(parts, meta)
 
     return make
@@ -269,46 +357,33 @@ def _open(folder: str, name: str):
 class Model:
     """Look-ups in the mapped files."""
 
-    def __init__(self, folder: str, stats: dict, hashes: np.ndarray, most: dict[int, int]):
-        self.folder, self.s, self.vocabulary = folder, stats, Vocabulary(hashes, most)
-
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """Counts of distinct hashes, 0 for unknown ones."""
-        bits = self.s["bits"]
-        u = h.view(np.uint64)
-        shard = (u >> np.uint64(64 - bits)).astype(np.int64)
-        out = np.zeros(len(h), np.int64)
-        order = np.argsort(shard, kind="stable")
-        for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-            if len(at) and (found := _open(self.folder, f"words-{shard[at[0]]}.bin")):
-                i = found[1]["h"].find((u[at] << np.uint64(bits)) >> np.uint64(bits))
-                out[at[i >= 0]] = found[0]["c"][i[i >= 0]]
-        return out
-
-    def grams(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
-        """q(bc), rest(b), q(abc), rest(ab) of words' ids; 0 and 1 where the model has none. b must be over 0."""
-        q, r = self._pairs(b, c)
-        q3, r3 = np.zeros(len(b)), np.ones(len(b))
-        at = np.flatnonzero((a > 0) & (a <= self.vocabulary.most.get(3, 0)) & (b <= self.vocabulary.most.get(3, 0)))
-        q3[at], r3[at] = self._pairs(a[at], b[at], c[at])
-        return q, r, q3, r3
+    def __init__(self, folder: str, stats: dict):
+        self.folder, self.s, self.vocabulary = folder, stats, Vocabulary(folder, stats)
 
-    def _pairs(self, first: np.ndarray, second: np.ndarray, third: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        q, r = np.zeros(len(first)), np.ones(len(first))
+    def _files(self, first: np.ndarray):
         shard = first % self.s["shards"]
         order = np.argsort(shard, kind="stable")
         for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-            if not len(at) or not (found := _open(self.folder, f"grams-{shard[at[0]]}.bin")):
-                continue
-            arrays, ef = found
-            context = first[at] // self.s["shards"]
-            i = self._child(ef, 2, context, second[at])
-            if third is None:
-                q[at], r[at] = CODE[np.where(i >= 0, arrays["q2"][np.maximum(i, 0)] if len(arrays["q2"]) else 0, 0)], CODE[arrays["r2"][context]]
-            elif len(some := np.flatnonzero(i >= 0)):
-                j = self._child(ef, 3, i[some], third[at[some]])
-                q[at[some]] = CODE[np.where(j >= 0, arrays["q3"][np.maximum(j, 0)] if len(arrays["q3"]) else 0, 0)]
-                r[at[some]] = CODE[arrays["r3"][i[some]]]
+            if len(at) and (found := _open(self.folder, f"grams-{shard[at[0]]}.bin")):
+                yield at, *found
+
+    def _pairs(self, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Places of the pairs in their shards, q(bc), rest(b); -1, 0 and 1 where the model has none. b must be over 0."""
+        place, q, r = np.full(len(b), -1, np.int64), np.zeros(len(b)), np.ones(len(b))
+        for at, arrays, ef in self._files(b):
+            context = b[at] // self.s["shards"]
+            place[at] = i = self._child(ef, 2, context, c[at])
+            q[at[i >= 0]] = CODE[arrays["q2"][i[i >= 0]]]
+            r[at] = CODE[arrays["r2"][context]]
+        return place, q, r
+
+    def _triples(self, a: np.ndarray, place: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """q(abc), rest(ab) of pairs ab at known places."""
+        q, r = np.zeros(len(a)), np.ones(len(a))
+        for at, arrays, ef in self._files(a):
+            i = self._child(ef, 3, place[at], c[at])
+            q[at[i >= 0]] = CODE[arrays["q3"][i[i >= 0]]]
+            r[at] = CODE[arrays["r3"][place[at]]]
         return q, r
 
     def _child(self, ef: dict[str, EliasFano], n: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -330,34 +405,35 @@ class Model:
         begin = np.cumsum(lengths) - lengths
         h = np.concatenate(docs)
         distinct, inverse = np.unique(h, return_inverse=True)
-        count = self.counts(distinct)
+        ids, count = self.vocabulary.find(distinct)
         base = np.log10((count + 1) / (n + v + 1))
         unknown = d * v / n if n else 1.0
         p1 = np.where(count > 0, (count - d) / max(n, 1), unknown)
-        ids = self.vocabulary.ids(distinct)[inverse]
-        p = p1[inverse]
-        b, a = np.zeros_like(ids), np.zeros_like(ids)  # the word before, and the one before that, inside the document
-        b[1:] = ids[:-1]
-        b[begin] = 0
-        a[1:] = b[:-1]
-        a[begin] = 0
-        at = np.flatnonzero(b > 0)
+        ids[count < LEAST] = 0  # these are in no n-gram
+        p, word = p1[inverse], ids[inverse]
+        later = np.ones(len(h), bool)
+        later[begin] = False
+        at = np.flatnonzero(later[1:] & (word[:-1] > 0)) + 1
         if len(at):
-            key, back = _unique3(a[at], b[at], ids[at])
-            q, r, q3, r3 = (x[back] for x in self.grams(*key))
-            p[at] = q3 + r3 * (q + r * p[at])
+            bits = len(distinct).bit_length()
+            mask = (1 << bits) - 1
+            key, back = np.unique(inverse[at - 1] << bits | inverse[at], return_inverse=True)
+            b = ids[key >> bits]
+            place, q, r = self._pairs(b, ids[key & mask])
+            p[at] = q[back] + r[back] * p[at]
+            pair = np.full(len(h), -1, np.int64)  # number of the pair that ends at a token
+            pair[at] = back
+            at = at[pair[at - 1] >= 0]
+            at = at[place[pair[at - 1]] >= 0]
+            key, back = np.unique(pair[at - 1] << bits | inverse[at], return_inverse=True)
+            q, r = self._triples(b[key >> bits], place[key >> bits], ids[key & mask])
+            p[at] = q[back] + r[back] * p[at]
         total = lambda x: np.add.reduceat(x, begin)
         return lengths, total((count > 0)[inverse].astype(np.int64)), total(base[inverse]), total(np.log10(p))
 
 
-def _unique3(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    mask = (1 << BITS) - 1
-    key, back = np.unique(a << (2 * BITS) | b << BITS | c, return_inverse=True)
-    return (key >> (2 * BITS), key >> BITS & mask, key & mask), back
-
-
 def learn(docs: DataFrame, train: Column | None, text_col: str = "text") -> dict:
-    """Counts the training rows and writes the model's files. Gives what a Model needs: folder, numbers, frequent words."""
+    """Counts the training rows and writes the model's files. Gives what a Model needs: folder and numbers."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs if train is None else docs.where(train)
@@ -370,20 +446,18 @@ def learn(docs: DataFrame, train: Column | None, text_col: str = "text") -> dict
     bits = _shards(v).bit_length() - 1
     shard = F.shiftrightunsigned(F.col("h"), 64 - bits).cast("int").alias("shard")
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << bits)
-    _write(counts.select(shard, "h", "c").repartition(parts, "shard").sortWithinPartitions("shard", "h"), folder, _vocabulary_file(bits))
-    # At most 1 / share words can have a share: the list that is collected and broadcast is bounded by SHARE alone.
-    common = counts.where(F.col("c") >= max(LEAST, SHARE[2] * n)).orderBy(F.desc("c"), "h").collect()
-    hashes, freq = np.array([r["h"] for r in common], np.int64), np.array([r["c"] for r in common], np.int64)
-    most = {2: len(hashes), 3: int((freq >= SHARE[3] * n).sum())}
-    held, firsts = spark.sparkContext.broadcast((hashes, most)), spark.sparkContext.broadcast(freq)
-    grams = written(_grams(texts, held), "grams")
+    made = _write(counts.select(shard, "h", "c").repartition(parts, "shard").sortWithinPartitions("shard", "h"), folder, "words", _vocabulary_file(bits))
+    entries = np.zeros(1 << bits, np.int64)
+    for r in made.select("shard", "entries").collect():  # a row for about SHARD / 2 words or more, or SHARDS rows
+        entries[r["shard"]] = r["entries"]
+    stats = {"n": n, "v": v, "bits": bits, "starts": (np.cumsum(entries) - entries).tolist()}
+    grams = written(_grams(texts, folder, stats), "grams")
     shards = _shards(grams.count())
-    first = F.when(F.col("level") == 2, F.shiftright("key", BITS)).otherwise(F.shiftright("key", 2 * BITS))
-    keyed = grams.select((first % shards).cast("int").alias("shard"), (F.shiftleft(F.col("level").cast("long"), 60).bitwiseOR(F.col("key"))).alias("key"), "c")
+    keyed = grams.select((F.col("w1") % shards).cast("int").alias("shard"), "w1", "w2", "w3", "c")
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
-    _write(keyed.repartition(parts, "shard").sortWithinPartitions("shard"), folder, _trie_file(firsts, shards))
+    _write(keyed.repartition(parts, "shard").sortWithinPartitions("shard"), folder, "grams", _trie_file(folder, stats, shards))
     d = min(0.9, max(0.1, n1 / (n1 + 2 * n2) if n1 else 0.1))
-    return {"folder": folder, "stats": {"n": n, "v": v, "d": d, "bits": bits, "shards": shards}, "hashes": hashes, "most": most}
+    return {"folder": folder, "stats": stats | {"d": d, "shards": shards}}
 
 
 def scores(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -395,13 +469,26 @@ def scores(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     def run(batches: Batches) -> Batches:
         m = Model(*held.value.values())
         hashes = Hashes()
-        for b in batches:
-            docs_ = [hashes.of(words(t)) for t in texts_of(b)]
-            if not docs_:
-                continue
-            n, known, base, score = m.score(docs_)
+        ids: list[pa.Array] = []
+        held_: list[np.ndarray] = []
+        size = 0
+
+        def out():
+            n, known, base, score = m.score(held_)
             train = np.full(len(n), m.s["n"], np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x) for x in (n.astype(np.int64), known, train, base, score))], names=[id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), *(pa.array(x) for x in (n.astype(np.int64), known, train, base, score))], names=[id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+        for b in batches:
+            new = [hashes.of(words(t)) for t in texts_of(b)]
+            if new:
+                ids.append(b.column(0))
+                held_ += new
+                size += sum(map(len, new))
+            if size >= SCORED:
+                yield out()
+                ids, held_, size = [], [], 0
+        if held_:
+            yield out()
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(docs[id_col], docs[text_col].alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
