@@ -186,6 +186,25 @@ def test_contamination(spark, docs, no_docs, most):
     assert decontam.contamination(docs, b.limit(0)).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("most", [8_000_000, 20])
+def test_items_without_an_id_hit_as_in_the_sql(spark, docs, most):
+    import duckdb
+    import pyarrow as pa
+
+    from trailforge.llm.queries import ORACLE_SQL
+
+    items = [(None, "lazy dog near the RIVER"), (None, "a row without"), (1, "an id"), (2, "over the lazy dog")]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    some = docs.where("doc_id in (1, 3, 4, 7, 8)").select("doc_id", "text")
+    c = duckdb.connect()
+    c.register("documents", pa.Table.from_pylist([r.asDict() for r in some.collect()]))
+    c.register("benchmark", pa.table({"item_id": pa.array([i for i, _ in items], pa.int64()), "text": [x for _, x in items]}))
+    got = decontam.contamination(some, b, max_item_bytes=most).select(*cols).collect()
+    assert key(map(tuple, got)) == key(c.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE_SQL['op4_decontamination']})").fetchall())
+    assert [r["contaminated"] for r in decontam.contamination(some, b.limit(1)).where("doc_id = 1").collect()] == [True]
+
+
 def test_byte_spans_point_into_the_original():
     text = "É: A-b c"
     runs = decontam.scan(text, decontam.automaton((("1", "a b"),), 10))[1]

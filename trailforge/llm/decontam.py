@@ -5,8 +5,8 @@ space, bytes of non-ASCII characters stay. So an offset in the normalised text i
 automaton holds each window of the items as `` w1 w2 ... `` between spaces and reads each text once.
 
 Defined results: null text or a text without words has 0 words and no hit; items with null or wordless text have no
-window; items that repeat, or that share an id, count as one id; a null item_id is left out of the ids; an empty
-benchmark hits nothing. A benchmark larger than ``MAX_ITEM_BYTES`` is dealt to several automata, each of which reads
+window; items that repeat, or that share an id, count as one id; items with a null item_id hit as others do and count as
+one item together, but are left out of the ids; an empty benchmark hits nothing. A benchmark larger than ``MAX_ITEM_BYTES`` is dealt to several automata, each of which reads
 the texts in a pass of its own, so that none of them outgrows a worker.
 """
 
@@ -44,11 +44,11 @@ def windows(text: str, size: int = WINDOW) -> set[bytes]:
 
 
 @lru_cache(maxsize=2)
-def automaton(items: tuple[tuple[str, str], ...], size: int):
+def automaton(items: tuple[tuple[str | None, str], ...], size: int):
     """Automaton of the items' windows; each value is (words of the window, ids)."""
     import ahocorasick
 
-    keys: dict[bytes, set[str]] = {}
+    keys: dict[bytes, set[str | None]] = {}
     for item, text in items:
         for w in windows(text, size):
             keys.setdefault(w, set()).add(item)
@@ -60,14 +60,14 @@ def automaton(items: tuple[tuple[str, str], ...], size: int):
     return auto if keys else None
 
 
-def scan(text: str, auto) -> tuple[int, list[tuple[int, int]], set[str]]:
+def scan(text: str, auto) -> tuple[int, list[tuple[int, int]], set[str | None]]:
     """Number of words, hit runs of words [from, to), ids of items that occur."""
     words = normal(text).split()
     if not words or auto is None:
         return len(words), [], set()
     line = f" {b' '.join(words).decode('latin-1')} "
     runs: list[tuple[int, int]] = []
-    ids: set[str] = set()
+    ids: set[str | None] = set()
     gaps = None
     for end, (n, found) in auto.iter(line):
         if gaps is None:
@@ -88,11 +88,11 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> list[tuple[tuple[str, str], ...]]:
+def _shards(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> list[tuple[tuple[str | None, str], ...]]:
     """Items dealt to automata of at most ``most`` bytes of text each (a longer single item stands alone)."""
-    shards: list[list[tuple[str, str]]] = [[]]
+    shards: list[list[tuple[str | None, str]]] = [[]]
     room = most
-    for r in benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null").orderBy("i", "t").toLocalIterator():
+    for r in benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t is not null").orderBy("i", "t").toLocalIterator():
         if shards[-1] and len(r.t) > room:
             shards.append([])
             room = most
@@ -120,8 +120,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max
             for text, found in zip(texts, scans, strict=True):
                 n = found[0][0]
                 runs = merged([r for x in found for r in x[1]])
-                ordered = sorted(set().union(*(x[2] for x in found)))
-                for col, v in zip(out, (n, sum(e - s for s, e in runs), len(ordered), hashlib.sha256(",".join(ordered).encode()).hexdigest(), bool(runs), [list(r) for r in runs], byte_spans(text, runs), ordered), strict=True):
+                hit = set().union(*(x[2] for x in found))
+                ordered = sorted(hit - {None})
+                for col, v in zip(out, (n, sum(e - s for s, e in runs), len(hit), hashlib.sha256(",".join(ordered).encode()).hexdigest(), bool(runs), [list(r) for r in runs], byte_spans(text, runs), ordered), strict=True):
                     col.append(v)
             spans = pa.list_(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
