@@ -38,6 +38,17 @@ def test_ids_equal_the_library(docs, path):
         assert e.ids(t, 64, 8) == want
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_letters_with_far_lower_case_equal_the_library(path):
+    e = tokens.encoder(path)
+    far = [c for c in map(chr, range(0x250)) if any(ord(x) > 0x24F for x in c.lower())]
+    assert len(far) >= 23 and {"\u0181", "\u018f", "\u0190", "\u023a"} <= set(far)
+    for t in [f"x{c}b c" for c in far] + ["Ɓala Əli Ɛ Ⱥ " * 50]:
+        want = np.array(e.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert e.ids(t) == want
+        assert e.ids(t, 64, 8) == want
+
+
 def test_token_counts(docs, no_docs):
     rows = key(tuple(r) for r in tokens.token_counts(docs, BYTE).collect())
     e = tokens.encoder(BYTE)

@@ -40,6 +40,8 @@ _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 #: Anything else: characters whose class, case or normal form may differ between Python and the library.
 _UNSURE = re.compile("[^\t\n\r -~\xa1-įı-ɏ]")
+#: The same where texts are lower-cased: also letters whose lower-case form isn't among the accepted ones (as U+0181, U+023A).
+_UNSURE_LOWER = re.compile("[^" + re.escape("".join(c for c in map(chr, range(0x250)) if not _UNSURE.search(c + c.lower()))) + "]")
 _SPLIT = {
     "byte_bpe": re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
     "word_bpe": re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
@@ -69,13 +71,14 @@ class PreTokens:
         kind = os.path.basename(path).rsplit("_", 1)[0]
         self.split = _SPLIT.get(kind)
         self.lower = kind == "word_bpe"
+        self.unsure = _UNSURE_LOWER if self.lower else _UNSURE
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.merge = self.tok.model.tokenize
         self.cache: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bool:
         """Whether our own split into pre-tokens is known to equal the library's."""
-        return self.split is not None and not _UNSURE.search(text) and not any(s in text for s in self.special)
+        return self.split is not None and not self.unsure.search(text) and not any(s in text for s in self.special)
 
     def pieces(self, text: str) -> list[str]:
         return self.split.findall(text.lower() if self.lower else text)
