@@ -159,6 +159,14 @@ def test_open_families_in_small_blocks(spark, monkeypatch):
     assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows)
 
 
+def test_a_confirmed_pair_links_without_a_common_band():
+    import pandas as pd
+
+    a = np.arange(20, dtype=np.int64)
+    pdf = pd.DataFrame({"i": 0, "j": 0, "own": 0, "node": [1, 2, 3], "comp": [1, 2, 3], "hashes": [a, a[:18], a + 50], "bands": [[1, 2], [3, 4], [3, 4]]})
+    assert [sorted(x) for x in neardup.across(pdf, 80)] == [[1, 2]]
+
+
 def test_bands_hardly_miss():
     rng = np.random.default_rng(3)
     for n in (5, 12, 40, 300):

@@ -6,8 +6,8 @@
 3. Each bucket gives star-shaped edges: from the member that shares most buckets with others (of a family of copies,
    the text the others come from) to each other member. Edges are confirmed on full sets.
 4. A star misses a link between two members that the centre doesn't link. So where a family (classes joined by edges,
-   confirmed or not) is left in more than one component, ``_rest`` tests the pairs across components that share a
-   bucket, on full sets, in blocks of bounded size, and gives links only.
+   confirmed or not) is left in more than one component, ``_rest`` tests the pairs across components, on
+   full sets, in blocks of bounded size, and gives links only.
 5. Components come from star steps on the links; a document's component is the smallest id in it.
 
 At a similarity of 0.8 the bands miss a pair with a probability of about 5e-8.
@@ -156,22 +156,22 @@ def links(docs: DataFrame, classes: DataFrame, size: int, per_cent: int, id_col:
     both = joined.select("a", "b", sized.alias("both"), F.size(F.array_intersect("ha", "hb")).alias("common"))
     found = written(both.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * per_cent).select("a", "b"), "links")
     inner = written(components(found), "inner")
-    more = _rest(edges, inner.withColumnRenamed("root", "comp"), sets, classes, per_cent)
+    more = _rest(edges, inner.withColumnRenamed("root", "comp"), sets, per_cent)
     # The components so far stand for their links.
     return inner.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
 
 
-def _rest(edges: DataFrame, inner: DataFrame, sets: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
+def _rest(edges: DataFrame, inner: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """Links across the components (node, comp) of a family that no star could show."""
     family = components(edges).withColumnRenamed("root", "family")
     at = family.join(inner, "node", "left").select("node", "family", F.coalesce("comp", "node").alias("comp"))
     open_ = at.groupBy("family").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("n > 2 and lo <> hi").select("family")
-    rows = at.join(open_, "family").join(sets, "node").join(classes.select("node", "bands"), "node")
+    rows = at.join(open_, "family").join(sets, "node")
     rows = written(rows, "open")
     blocks = rows.groupBy("family").agg(F.ceil(F.sum(F.size("hashes")) / F.lit(BLOCK_SHINGLES)).cast("int").alias("m"))
     rows = rows.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    rows = rows.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "hashes", "bands")
+    rows = rows.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "hashes")
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(across(pdf, per_cent), columns=["a", "b"]).astype("int64")
@@ -197,7 +197,6 @@ def across(pdf: pd.DataFrame, per_cent: int) -> list[tuple[int, int]]:
     right = np.flatnonzero(own == j)
     place = np.full(len(pdf), -1)
     place[right] = np.arange(len(right))
-    bands = np.array(list(pdf["bands"]))
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -221,7 +220,7 @@ def across(pdf: pd.DataFrame, per_cent: int) -> list[tuple[int, int]]:
         hit = (common * 100 >= (both - common) * per_cent) & (least > 0)
         for p, q in zip(*np.nonzero(hit), strict=True):
             u, v = int(node[rows[p]]), int(node[right[q]])
-            if u == v or root(comp[u]) == root(comp[v]) or not (bands[rows[p]] == bands[right[q]]).any():
+            if u == v or root(comp[u]) == root(comp[v]):
                 continue
             parent[root(comp[u])] = root(comp[v])
             out.append((u, v))
