@@ -97,6 +97,35 @@ def test_best_fit():
     assert len(bins) <= math.ceil(sum(sizes) / 100) * 1.05 + 1
 
 
+def test_a_node_hands_up_a_bounded_residue():
+    rng = np.random.default_rng(7)
+    over = rng.integers(2100, 3500, 5000).tolist()
+    up = packing.residue(over, 64, 4096)
+    assert len(up) == packing.HOSTS and min(over) in {over[i] for i in up}
+    assert packing.residue([4090, 4032, 4031, 2048, 9], 64, 4096) == {2, 3, 4}
+
+
+@pytest.mark.parametrize("kind", ["over half", "mixed", "small"])
+def test_sequences_are_few(spark, kind):
+    """No node is handed more than its bound, and the sequences are nearly as few as those of one best fit over all."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    n = {"over half": rng.integers(132, 218, 1500), "mixed": np.minimum(255, rng.lognormal(3.5, 1, 1500)).astype(int) + 1, "small": rng.integers(1, 9, 1500)}[kind]
+    df = spark.createDataFrame([(i, "a " * (int(k) - 1)) for i, k in enumerate(n)], "doc_id long, text string").repartition(24)
+    levels = []
+    round_ = packing._round
+    try:
+        packing._round = lambda rest, *a: levels.append(rest.groupBy("node").count().agg(F.max("count")).first()[0]) or round_(rest, *a)
+        rows = packing.pack(df, WORD, capacity=256).collect()
+    finally:
+        packing._round = round_
+    assert sum(r["length"] for r in rows) == n.sum()
+    assert all(x is None or x <= packing.FAN_IN * (packing.HOSTS + 1) for x in levels) and len(levels) == 2
+    got, best = len({r["sequence_id"] for r in rows}), len(packing.best_fit(n.tolist(), 256))
+    assert math.ceil(n.sum() / 256) <= best <= got <= math.ceil(best * 1.03) + 1
+
+
 # 2: near duplicates
 
 
