@@ -49,6 +49,34 @@ def test_letters_with_far_lower_case_equal_the_library(path):
         assert e.ids(t, 64, 8) == want
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_runs_without_a_boundary_are_read_little_more_than_once(path, monkeypatch):
+    e = tokens.PreTokens(path)
+    read = []
+    spans = e.spans
+    monkeypatch.setattr(e, "spans", lambda t: read.append(len(t)) or spans(t))
+    rng = np.random.default_rng(1)
+    for t in ("".join(rng.choice(list("abcdefgh"), 100_000)), "x" * 100_000, "日本" * 30_000, "ab " + "7z" * 40_000 + " end"):
+        read.clear()
+        assert e.ids(t) == np.array(e.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert sum(read) <= 3 * len(t)
+
+
+def test_the_splitter_follows_the_file_not_its_name(tmp_path):
+    import json
+    import shutil
+
+    shutil.copy(WORD, tmp_path / "byte_bpe_50k.json")
+    setting = json.load(open(BYTE))
+    setting["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "word_bpe_49k.json").write_text(json.dumps(setting))
+    for name, known in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        e = tokens.PreTokens(str(tmp_path / name))
+        assert (e.split is not None) == known
+        for t in ("Hello big World's 12 x", "a" * 900 + " b" * 400):
+            assert e.ids(t, 64, 8) == np.array(e.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_token_counts(docs, no_docs):
     rows = key(tuple(r) for r in tokens.token_counts(docs, BYTE).collect())
     e = tokens.encoder(BYTE)

@@ -6,7 +6,11 @@ equal goes through the library whole. Documents longer than ``chunk_chars`` are
 offsets. Two chunks are spliced at a boundary between pre-tokens that both of them have: the scan for pre-tokens has no
 memory before the place where a pre-token starts, so from a common start on, the later chunk is right up to its own
 unstable end. A boundary counts as stable only if the chunk goes on for at least ``GUARD`` characters after it. Where
-no common stable boundary lies in the overlap, the overlap is doubled until one does.
+no common stable boundary lies in the overlap, the overlap is doubled until one does; where none lies in the whole
+chunk, the chunk becomes ``GROW`` times as long, so that a run without boundaries is read little more than once.
+
+Which expression splits a text is read from the file's own normalizer and pre-tokenizer; with others than the two known
+ones, every text goes through the library whole.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens); repeated rows give one row each; an empty table gives
 no rows; extra columns are ignored.
@@ -15,6 +19,7 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import struct
@@ -32,8 +37,10 @@ CHUNK_CHARS = 16384
 OVERLAP_CHARS = 256
 #: A pre-token's end looks at most one character ahead; a boundary needs this many more characters in its chunk.
 GUARD = 4
-#: Distinct pieces kept in a worker's memory; when it is full the memory starts anew.
-CACHE_PIECES = 700_000
+#: Factor by which a chunk without a boundary grows.
+GROW = 4
+#: Distinct pieces and their characters kept in a worker's memory; when it is full the memory starts anew.
+CACHE_PIECES, CACHE_CHARS = 700_000, 32_000_000
 
 # Letters and numbers among the characters the fast path accepts: categories L and N up to U+024F.
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
@@ -42,10 +49,31 @@ _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _UNSURE = re.compile("[^\t\n\r -~\xa1-įı-ɏ]")
 #: The same where texts are lower-cased: also letters whose lower-case form isn't among the accepted ones (as U+0181, U+023A).
 _UNSURE_LOWER = re.compile("[^" + re.escape("".join(c for c in map(chr, range(0x250)) if not _UNSURE.search(c + c.lower()))) + "]")
-_SPLIT = {
-    "byte_bpe": re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
-    "word_bpe": re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
-}
+#: The two settings whose splits are known, as the files state them (normalizer, pre_tokenizer).
+_BYTE_SETTING = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+_WORD_SETTING = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+_BYTE_SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
+_WORD_SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+
+
+def splitter(path: str) -> tuple[re.Pattern | None, bool]:
+    """The expression that splits ordinary text as the file's own settings do, and whether text is lower-cased first."""
+    with open(path, encoding="utf-8") as f:
+        setting = json.load(f)
+    now = (setting.get("normalizer"), setting.get("pre_tokenizer"))
+    plain = setting["model"].get("type") == "BPE" and not setting["model"].get("dropout")
+    if not plain or any(t.get("normalized") or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in setting.get("added_tokens", [])):
+        return None, False
+    return (_BYTE_SPLIT, False) if now == _BYTE_SETTING else (_WORD_SPLIT, True) if now == _WORD_SETTING else (None, False)
 
 
 def _byte_chars() -> list[str]:
@@ -68,13 +96,12 @@ class PreTokens:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        kind = os.path.basename(path).rsplit("_", 1)[0]
-        self.split = _SPLIT.get(kind)
-        self.lower = kind == "word_bpe"
+        self.split, self.lower = splitter(path)
         self.unsure = _UNSURE_LOWER if self.lower else _UNSURE
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.merge = self.tok.model.tokenize
         self.cache: dict[str, bytes] = {}
+        self.chars = 0
 
     def plain(self, text: str) -> bool:
         """Whether our own split into pre-tokens is known to equal the library's."""
@@ -85,9 +112,11 @@ class PreTokens:
 
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE_PIECES:
+        if len(self.cache) + len(new) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self.cache.clear()
+            self.chars = 0
             new = list(pieces)
+        self.chars += sum(map(len, new))
         for p in new:  # a piece is one pre-token, so the model alone gives its ids
             self.cache[p] = struct.pack(f"<{len(t := self.merge(''.join(map(_BYTE_CHAR.__getitem__, p.encode()))))}I", *[x.id for x in t])
 
@@ -123,7 +152,7 @@ class PreTokens:
 
     def ids(self, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> bytes:
         """Ids of a whole text; those longer than ``chunk`` by overlapping chunks."""
-        if len(text) <= chunk:
+        if len(text) <= chunk or self.split is None:
             return self.ids_whole(text)
         return b"".join(self.resynchronised(text, chunk, overlap))
 
@@ -138,20 +167,21 @@ class PreTokens:
         starts, parts = self.spans(text[:end])
         k = 0  # first pre-token of the chunk that isn't given out
         while end < len(text):
+            at = starts[:-1] + begin
             width = overlap
             while True:
                 if width >= end - begin:  # no common boundary inside the whole chunk: take a longer one from its start
-                    begin += int(starts[k])  # a proven boundary
-                    end = min(len(text), end + chunk)
+                    begin = int(at[k])  # a proven boundary
+                    end = min(len(text), begin + GROW * max(chunk, end - begin))
                     starts, parts = self.spans(text[begin:end])
-                    k, width = 0, overlap
-                    if end == len(text):
-                        break
+                    k = 0
+                    break
+                stable = at[k:][(at[k:] <= end - GUARD) & (at[k:] >= end - width + GUARD)]
+                if not len(stable):
+                    width *= 2
                     continue
-                to = min(len(text), end - width + chunk)
+                to = min(len(text), end - width + max(chunk, 2 * width))
                 nxt, nparts = self.spans(text[end - width : to])
-                at = starts[:-1] + begin
-                stable = at[k:][(at[k:] <= end - GUARD) & (at[k:] >= end - width + GUARD)]
                 common = np.intersect1d(stable, nxt[:-1] + end - width)
                 # A chunk may begin inside a pre-token, and its first boundaries be artefacts of the cut: only those
                 # that the earlier chunk has too, and that are stable there, are taken.
