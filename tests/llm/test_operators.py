@@ -283,11 +283,43 @@ def test_items_without_an_id_hit_as_in_the_sql(spark, docs, most):
 
 def test_byte_spans_point_into_the_original():
     text = "É: A-b c"
-    runs = decontam.scan(text, decontam.automaton((("1", "a b"),), 10))[1]
-    (a, b), = decontam.byte_spans(text, runs)
+    hit, ids = decontam.Automaton(decontam.build({b"a b": {"1"}}, 10)).scan([decontam.normal(text).split()])
+    assert ids == [{"1"}]
+    (a, b), = decontam.byte_spans(text, decontam.runs_of(hit))
     assert text.encode()[a:b] == b"A-b"
 
 
+def test_states_equal_brute_force_on_repetitive_words(monkeypatch):
+    """Words of a small alphabet, so that failure links and windows inside windows matter."""
+    rng = np.random.default_rng(12)
+    for size in (1, 2, 3, 5):
+        items = {b" ".join(rng.choice([b"a", b"b", b"c"], rng.integers(1, 9)).tolist()): {str(i)} for i in range(8)}
+        auto = decontam.Automaton(decontam.build(items, size))
+        texts_ = [" ".join(rng.choice(list("abcd"), rng.integers(0, 60), p=[0.4, 0.3, 0.2, 0.1])) for _ in range(40)]
+        hit, ids = auto.scan([t.encode().split() for t in texts_])
+        at = 0
+        for t, found in zip(texts_, ids, strict=True):
+            n, k, m, *_ = brute_hits(t, [(next(iter(i)), x.decode()) for x, i in items.items()], size)
+            assert (int(hit[at : at + n].sum()), len(found)) == (k, m)
+            at += n + 1
+
+
+def test_a_large_benchmark_goes_to_several_automata_built_once(spark):
+    rng = np.random.default_rng(2)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 5000, 30))) for i in range(300)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    most = sum(len(t) for _, t in items) // 5
+    folder, names = decontam.automata(b, max_item_bytes=most)
+    assert 5 <= len(names) <= 6 and len({decontam.opened(folder, n).key.tobytes() for n in names}) == len(names)
+    before = decontam.opened.cache_info().misses
+    for n in names * 3:
+        decontam.opened(folder, n)
+    assert decontam.opened.cache_info().misses == before
+    docs_ = spark.createDataFrame([(1, "x " + items[7][1] + " y"), (2, items[8][1][:60]), (3, "w1 w2")], "doc_id long, text string")
+    got = key(tuple(r)[:6] for r in decontam.contamination(docs_, b, max_item_bytes=most).drop("runs", "byte_spans", "items").collect())
+    assert got == key((i, *brute_hits(t, items)) for i, t in texts(docs_))
+
+
 # 5: language
 
 

@@ -27,6 +27,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, for files that tasks write."""
+    path = new_path(spark, name)
+    fs, at = files_at(path)
+    fs.create_dir(at, recursive=True)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write to the shared folder and read it back. Survives the loss of executors."""
     spark = df.sparkSession

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailforge.llm.common import Batches, map_file, new_path, put_file, files_at, small_batches, texts_of, written
+from trailforge.llm.common import Batches, files_at, map_file, new_folder, put_file, small_batches, texts_of, written
 from trailforge.llm.eliasfano import EliasFano, pack, unpack
 
 #: Least count of an n-gram of two or three words.
@@ -440,9 +440,7 @@ def learn(docs: DataFrame, train: Column | None, text_col: str = "text") -> dict
     texts = rows.select(F.coalesce(text_col, F.lit("")).alias("text"))
     counts = written(_counts(texts), "tokens")
     n, v, n1, n2 = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    folder = new_path(spark, "lm")
-    fs, at = files_at(folder)
-    fs.create_dir(at, recursive=True)
+    folder = new_folder(spark, "lm")
     bits = _shards(v).bit_length() - 1
     shard = F.shiftrightunsigned(F.col("h"), 64 - bits).cast("int").alias("shard")
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << bits)
