@@ -437,6 +437,37 @@ def test_long_texts_score_by_segments(monkeypatch):
     assert got[0] == pytest.approx(want[0], abs=1e-4) and got[1] == want[1]
 
 
+def test_log_odds_equal_a_plain_convolution():
+    m = toxicity.fit([(f"good day number {i}", 0, "en") for i in range(40)] + [(f"vile day number {i}", 1, "en") for i in range(40)])
+    for t in ("good vile day", "one", "", "Vile, vile DAY number 3 and more words here", "day " * 50):
+        x = [m.emb[list(f)].sum(0) for f in toxicity.features(toxicity.words_of(t))]
+        z = m.shift
+        for i, w in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best = 0.0
+                for p in range(len(x)):
+                    best = max(best, m.bias[i][f] + sum(float(x[p + k] @ m.filters[i][k][:, f]) for k in range(w) if p + k < len(x)))
+                z += best * m.out[i * toxicity.FILTERS + f]
+        assert toxicity.Scorer(m).log_odds(t)[0] == pytest.approx(z, abs=1e-4)
+
+
+def test_all_languages_with_enough_rows_have_a_threshold():
+    rows = [(f"{lang}w{i % 7} {lang}x {'bad' + lang if i % 2 else 'fine'}", i % 2, lang) for lang in (f"l{k:02d}" for k in range(12)) for i in range(40)]
+    rows += [(f"other{k} words {i}", 0, f"few{k}") for k in range(5) for i in range(3)]
+    m = toxicity.fit(rows, epochs=1)
+    assert m.langs == [f"l{k:02d}" for k in range(12)] + [""] and len(m.cuts) == 14 and m.cuts[12] == m.cuts[13]
+    s = toxicity.Scorer(m)
+    assert [m.langs[s.log_odds(f"{x}w1 {x}x {x}w2")[1]] for x in m.langs[:12]] == m.langs[:12]
+    assert m.langs[s.log_odds("other3 words")[1]] == ""
+
+
+def test_the_fit_is_bounded_in_bytes(spark, docs):
+    labels = docs.select("doc_id").distinct().selectExpr("doc_id", "cast(doc_id % 2 as int) AS toxic")
+    every = toxicity.labelled(docs, labels, None, 100, "doc_id", "text", "toxic", "lang")
+    some = toxicity.labelled(docs, labels, None, 100, "doc_id", "text", "toxic", None, most_bytes=300)
+    assert 0 < len(some) < len(every) and [r[:2] for r in every[: len(some)]] == [r[:2] for r in some]
+
+
 # 7: language model
 
 

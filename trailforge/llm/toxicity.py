@@ -2,10 +2,15 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its first five and four letters. Filters of each
 width run over the words, the largest response of each is kept, and a linear layer gives the log-odds. Fitting takes at
-most ``MAX_PER_CLASS`` labelled rows of either class (those with the least hash of their id), on the driver; scoring runs
-over whole texts on the executors, in segments that overlap by the widest filter, with the projections of known words
-kept in memory. Thresholds are calibrated by language on labelled rows that the fit left out. The language is one that a
-hashed word model reads off the text, never a column; a monotone map brings each language's threshold to ``DECISION``.
+most ``MAX_PER_CLASS`` labelled rows of either class (those with the least hash of their id) and ``MAX_BYTES`` of their
+whole texts, on the driver; scoring runs over whole texts on the executors, in segments that overlap by the widest filter,
+with the projections of known words kept in memory.
+
+Thresholds are calibrated by language on labelled rows that the fit left out. A text's language is one that a hashed word
+model reads off the text, never a column of the row scored; a monotone map brings each language's threshold to
+``DECISION``. Every language with ``LANG_ROWS`` fitted rows has a word model; the rows of all others have one together,
+and with it the common threshold. (The lang column of the labelled rows names the word models when they are learnt; with
+``lang_col=None`` there is one threshold.)
 
 Defined results: null and empty texts score as a text without words; repeated rows give one row each; labels that are
 null are left out; without labels of both classes every text scores 0; an empty table gives no rows; extra columns are
@@ -28,10 +33,14 @@ from trailforge.llm.common import Batches, small_batches, texts_of
 
 #: Most labelled rows of either class that a model is fitted on.
 MAX_PER_CLASS = 2000
+#: Most bytes of text that a model is fitted on.
+MAX_BYTES = 48_000_000
+#: Fitted rows from which a language has a word model of its own.
+LANG_ROWS = 30
 #: Score from which a text is predicted toxic.
 DECISION = 0.7
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 8, (1, 2, 3)
-LANG_BUCKETS, MAX_LANGS = 1 << 14, 8
+LANG_BUCKETS = 1 << 14
 SEGMENT = 1 << 16
 #: Fitted texts that a hashed bucket must occur in to be learnt.
 MIN_TEXTS = 4
@@ -59,7 +68,7 @@ class Model:
     shift: float = -20.0
     langs: list[str] = field(default_factory=list)
     lang_logs: np.ndarray = field(default_factory=lambda: np.zeros((LANG_BUCKETS, 0), np.float32))
-    cuts: np.ndarray = field(default_factory=lambda: np.full(1, 0.5))  # log-odds threshold by language, the last for others
+    cuts: np.ndarray = field(default_factory=lambda: np.full(1, 0.5))  # log-odds threshold by language, the last without one
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Each word's projections on every slice of every filter, then its language logs."""
@@ -208,11 +217,13 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 6, batch: int = 3
 def _languages(m: Model, rows: list, texts: list[np.ndarray], feats: np.ndarray) -> None:
     """Logs of hashed word shares by language, for telling a text's language from its words."""
     names, n = np.unique([r[2] for r in rows if r[2]], return_counts=True)
-    m.langs = [str(x) for x in names[np.argsort(-n, kind="stable")][:MAX_LANGS]]
+    own = [str(x) for x in names[n >= LANG_ROWS]]
+    # "" stands for all other languages together.
+    which = [(own.index(r[2]) if r[2] in own else len(own)) for r in rows]
+    m.langs = own + [""] * (len(own) in which)
     counts = np.full((LANG_BUCKETS, len(m.langs)), 0.1)
-    for r, t in zip(rows, texts, strict=True):
-        if r[2] in m.langs:
-            counts[:, m.langs.index(r[2])] += np.bincount(feats[t, 0] % LANG_BUCKETS, minlength=LANG_BUCKETS)
+    for i, t in zip(which, texts, strict=True):
+        counts[:, i] += np.bincount(feats[t, 0] % LANG_BUCKETS, minlength=LANG_BUCKETS)
     m.lang_logs = np.log(counts / counts.sum(0)).astype(np.float32)
 
 
@@ -236,14 +247,14 @@ def _calibrate(m: Model, rows: list[tuple[str, int, str | None]], least: int = 1
     every = 0.0 if every is None else every
     m.cuts = np.full(len(m.langs) + 1, every)
     for i in range(len(m.langs)):
-        part = [g for g in got if g[1] == i]
+        part = [g for g in got if g[1] == i] if m.langs[i] else []
         if sum(g[2] for g in part) >= least and (c := best(part)) is not None:
             m.cuts[i] = c
 
 
-def labelled(docs: DataFrame, labels: DataFrame, learn: Column | None, most: int, id_col: str, text_col: str, label_col: str, lang_col: str | None) -> list[tuple[str, int, str | None]]:
-    """At most ``most`` labelled texts of either class, those with the least hash of their ids. The ids, which are at
-    most twice ``most``, are broadcast to the texts."""
+def labelled(docs: DataFrame, labels: DataFrame, learn: Column | None, most: int, id_col: str, text_col: str, label_col: str, lang_col: str | None, most_bytes: int = MAX_BYTES) -> list[tuple[str, int, str | None]]:
+    """At most ``most`` labelled texts of either class and ``most_bytes`` of text, those with the least hash of their
+    ids. The ids, which are at most twice ``most``, are broadcast to the texts; texts are fetched until the bytes are full."""
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id is not null and _label in (0, 1)")
     marked = marked.withColumnRenamed("_id", id_col)
     marked = marked.where(learn) if learn is not None else marked
@@ -251,8 +262,14 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column | None, most: int
     picked = marked.where("_label = 1").orderBy(*order).limit(most).unionByName(marked.where("_label = 0").orderBy(*order).limit(most))
     lang = docs[lang_col] if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col(id_col), F.coalesce(docs[text_col], F.lit("")).alias("_text"), lang.alias("_lang"))
-    rows = texts.join(F.broadcast(picked), id_col).select(id_col, "_text", "_label", "_lang").orderBy(id_col, "_text", "_label").collect()
-    return [(r["_text"], r["_label"], r["_lang"]) for r in rows]
+    rows = texts.join(F.broadcast(picked), id_col).select(id_col, "_text", "_label", "_lang").orderBy(*order, F.xxhash64("_text", "_label"))
+    out, left = [], most_bytes
+    for r in rows.toLocalIterator():
+        left -= len(r["_text"].encode("utf-8", "surrogatepass"))
+        if left < 0 and out:
+            break
+        out.append((r["_text"], r["_label"], r["_lang"]))
+    return out
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, most: int = MAX_PER_CLASS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = "lang", keep: tuple[str, ...] = (), text_out: bool = False) -> DataFrame:
