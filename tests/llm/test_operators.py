@@ -626,6 +626,47 @@ def test_nearest_neighbours(spark):
     assert ann.search(df.where("vec_id in (0, 5)")).count() == 1
 
 
+def test_few_vectors_survive_the_codes(spark):
+    """On the small table of vectors: recall against brute force, and the share of vectors that are measured exactly."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no tables here")
+    t = pq.read_table(path)
+    ids, x = np.array(t["vec_id"].to_pylist()), np.array(t["embedding"].to_pylist(), np.float64)
+    centre, rot = x.mean(0), ann.rotation(x.shape[1])
+    q = np.flatnonzero(ids % 100 == 0)
+    best = ann.Best(ids[q], x[q], 10)
+    taken = best.add(ann.Codes.of(x, centre, rot), ids, x, centre, rot, ann.EPSILON)
+    assert taken <= 0.1 * len(q) * (len(ids) - 1)
+    hit = 0
+    for n, i in enumerate(q):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        hit += len(set(ids[np.lexsort((ids, d))[:10]]) & set(best.at[n]))
+    assert hit >= 0.95 * 10 * len(q)
+
+
+def test_estimates_by_packed_bits_equal_the_rounded_product():
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(50, 20)), rng.normal(size=(4, 20))
+    centre, rot = x.mean(0), ann.rotation(20)
+    about, low = ann.Codes.of(x, centre, rot).estimates(q, centre, rot, 3.0)
+    true = ((q[:, None] - x[None]) ** 2).sum(2)
+    assert (low <= about).all() and (low <= true).mean() > 0.99
+    assert np.abs(about - true).mean() < 0.15 * true.mean()
+
+
+def test_overflowing_distances_rank_last(spark):
+    big = 1.7e308
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [big, 0.0]), (2, [-big, 0.0]), (3, [2.0, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r["vec_id"]) for r in ann.search(df).collect())
+    assert got == [(1, 3), (2, 1), (3, 2)]
+
+
 # 10: personal data
 
 BASE = {
