@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailforge.functions.constants import NEAR_DUP
 from trailforge.functions.text import tokens
+from trailforge.shared import written
 
 
 def exact_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
@@ -55,14 +53,7 @@ def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage by a table in the shared folder."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='trailforge-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/greedy-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, "cut")
 
 
 def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_DUP) -> DataFrame:
