@@ -216,6 +216,24 @@ def test_open_families_in_small_blocks(spark, monkeypatch):
     assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows)
 
 
+def test_hot_keys_are_dealt_to_parts(spark, docs, monkeypatch):
+    from trailforge.operators import skew
+
+    monkeypatch.setattr(skew, "LEAST", 3)
+    df, rows = near_docs(spark, 11)
+    more = [(900 + i, "one and the same text of a few words") for i in range(12)] + [(950 + i, "") for i in range(12)]
+    got = neardup.near_duplicates(df.unionByName(spark.createDataFrame(more, df.schema)), size=4).collect()
+    assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows + more)
+
+
+def test_a_long_chain_is_one_family(spark):
+    """2,000 texts, each similar to the next only; one link of the chain is missing."""
+    words_ = [f"c{i}" for i in range(4 * 2000 + 100)]
+    rows = [(i, " ".join(words_[4 * i + (200 if i >= 1200 else 0) :][:60])) for i in range(1960)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 0 if i < 1200 else 1200 for i, _ in rows}
+
+
 def test_a_confirmed_pair_links_without_a_common_band():
     import pandas as pd
 
@@ -570,11 +588,25 @@ def test_warc_round_trip(spark):
     size = len("<p>é</p>".encode())
     want = [(1, size, "response", None), (2, size, "revisit", 1), (5, size, "revisit", 1), (3, 0, "response", None), (4, 0, "revisit", 3), (-6, 20000, "response", None), (7, 4, "response", None), (7, 4, "revisit", 7), (8, 4, "revisit", 7), (None, 4, "response", None)]
     assert got == key(want)
-    digests = {r["page_id"]: r["payload_digest"] for r in warc.round_trip(df).collect()}
+    again = {r["page_id"]: r for r in warc.round_trip(df).collect()}
+    assert again[2]["url"] == "http://b.example/%20y%0D%0AEvil:%201" and again[1]["url"] == "http://a.example/x" and again[3]["url"] == ""
+    digests = {i: r["payload_digest"] for i, r in again.items()}
     assert digests[2] == warc.digest32("<p>é</p>".encode()) and digests[3] == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_ids_and_hot_payloads(spark, monkeypatch):
+    from trailforge.operators import skew
+
+    ids = {warc.record_id(p, c) for p in (None, 0, 5, -1) for c in (0, 1, 65_535, 65_536, 1 << 40)}
+    assert len(ids) == 20 and all(warc.page_of(warc.record_id(p, 70_000)) == p for p in (0, 5, -1, 1 << 40))
+    monkeypatch.setattr(skew, "LEAST", 5)
+    df = spark.createDataFrame([(i, "u", "same" if i % 3 else f"p{i // 6}") for i in range(90)], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.round_trip(df).collect()}
+    want = {i: ("response", None) if i == 1 or i % 6 == 0 else ("revisit", 1 if i % 3 else i - 3) for i in range(90)}
+    assert got == want
+
+
 def test_warc_files_are_deterministic_and_roll(spark):
     import glob
 

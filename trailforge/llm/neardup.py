@@ -2,7 +2,8 @@
 
 1. ``sketches`` hashes each document's distinct word shingles once, keeps the least hash of each of ``BINS`` bins,
    fills empty bins from random full ones (optimal densification) and folds rows of bins to band keys.
-2. Documents with equal shingle sets are one class; only classes are compared from here on.
+2. Documents with equal shingle sets (by 128 bits of hash over the whole set) are one class with a number of its own;
+   only classes are compared from here on.
 3. Each bucket gives star-shaped edges: from the member that shares most buckets with others (of a family of copies,
    the text the others come from) to each other member. Edges are confirmed on full sets.
 4. A star misses a link between two members that the centre doesn't link. So where a family (classes joined by edges,
@@ -10,6 +11,9 @@
    full sets, in blocks of bounded size, and gives links only.
 5. Components come from star steps on the links; a document's component is the smallest id in it.
 
+A bucket, centre, family or class with very many members is dealt to several parts of each join (``salted_join``); texts
+without words aren't joined at all.
+
 At a similarity of 0.8 the bands miss a pair with a probability of about 5e-8.
 
 Defined results: null text, or text without words, has an empty set and is linked with nothing; fewer words than a
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 from trailforge.llm.common import Batches, small_batches, texts_of, written
 from trailforge.llm.graph import components
+from trailforge.operators.skew import hot_keys, salted_join
 
 BINS, ROWS = 128, 4
 #: Shingles of one block of a family in ``_rest``; a task holds two blocks.
@@ -103,59 +108,76 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _node(u: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(u.tobytes()) - (1 << 63)
+def _key(u: np.ndarray) -> tuple[int, int]:
+    """128 bits of hash of a whole set, as two longs."""
+    h = xxhash.xxh3_128_intdigest(u.tobytes())
+    return (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)
 
 
-def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, node (hash of the whole set; null where that is empty), bands."""
+def sketches(docs: DataFrame, size: int, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, n_shingles, k1, k2 (hash of the whole set; null where that is empty), bands, kept columns."""
     small_batches(docs.sparkSession)
 
     def run(batches: Batches) -> Batches:
         for b in batches:
-            n, nodes, bands = [], [], []
-            for t in texts_of(b):
+            n, keys, bands = [], [], []
+            for t in texts_of(b, "_text"):
                 u = shingles(t, size)
                 n.append(len(u))
-                nodes.append(_node(u) if len(u) else None)
+                keys.append(_key(u) if len(u) else (None, None))
                 bands.append(band_keys(signature(u)) if len(u) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "n_shingles", "node", "bands"])
+            k1, k2 = zip(*keys, strict=True) if keys else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), *b.columns[2:]],
+                names=["id", "n_shingles", "k1", "k2", "bands", *b.schema.names[2:]],
+            )
 
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, n_shingles long, node long, bands array<long>")
+    source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("_text"), *(docs[c].alias(f"_keep_{c}") for c in keep))
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
+    return source.mapInArrow(run, f"id {source.schema[0].dataType.simpleString()}, n_shingles long, k1 long, k2 long, bands array<long>{kept}")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """node, hashes of the wanted classes' (id, node) full sets, each once."""
+    """node, hashes of the wanted classes' (id, node, k1, k2) full sets, each once."""
 
     def run(batches: Batches) -> Batches:
         for b in batches:
             sets = [shingles(t, size) for t in texts_of(b)]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(u) if len(u) else None for u in sets], pa.int64()), b.column(b.schema.get_field_index("want")), pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64()))], names=["node", "want", "hashes"])
+            k1, k2 = zip(*(_key(u) if len(u) else (None, None) for u in sets), strict=True) if sets else ((), ())
+            own = [b.column(b.schema.get_field_index(k)) for k in ("node", "w1", "w2")]
+            yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), *own, pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64()))], names=["k1", "k2", "node", "w1", "w2", "hashes"])
 
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    found = texts.join(wanted.select("id", F.col("node").alias("want")), "id").select("text", "want").mapInArrow(run, "node long, want long, hashes array<long>")
-    return found.where("node = want").drop("want").dropDuplicates(["node"])
+    want = wanted.select("id", "node", F.col("k1").alias("w1"), F.col("k2").alias("w2"))
+    # An id may have several texts: only those of the class's set count.
+    found = texts.join(want, "id").select("text", "node", "w1", "w2").mapInArrow(run, "k1 long, k2 long, node long, w1 long, w2 long, hashes array<long>")
+    return found.where("k1 = w1 and k2 = w2").select("node", "hashes").dropDuplicates(["node"])
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, per_cent: int, id_col: str, text_col: str) -> DataFrame:
-    """a, b: links between classes (node, id, n_shingles, bands) that make the same components as all links."""
+    """a, b: links between classes (node, id, k1, k2, n_shingles, bands) that make the same components as all links."""
     members = classes.select("node", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(members.join(buckets, "key"), "buckets")
+    buckets = written(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    total = buckets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    hot = hot_keys(buckets, ("key",), "size", total)
+    members = written(salted_join(members, buckets, ("key",), hot, F.col("node")), "buckets")
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
     scored = members.join(score, "node")
     centres = scored.groupBy("key").agg(F.max(F.struct("score", "node")).alias("c")).select("key", F.col("c.node").alias("centre"))
-    edges = written(members.join(centres, "key").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    starred = salted_join(members, centres, ("key",), hot, F.col("node"))
+    edges = written(starred.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
     ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    sets = written(_sets(docs, classes.select("node", "id").join(ends, "node"), size, id_col, text_col), "sets")
+    sets = written(_sets(docs, classes.join(ends, "node"), size, id_col, text_col), "sets")
     a, b = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     sized = F.size("ha") + F.size("hb")
-    # The smaller sets meet the edges first; 100 * common >= per_cent * union, where union = both sizes - common.
-    joined = edges.join(a, "a").join(b, "b").where(F.least(F.size("ha"), F.size("hb")) * 100 >= F.greatest(F.size("ha"), F.size("hb")) * per_cent)
+    # A centre may have very many edges: its set is copied to as many parts as they take.
+    spokes = written(edges.groupBy("b").agg(F.count("*").alias("n")), "spokes")
+    hot = hot_keys(spokes, ("b",), "n", spokes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    # 100 * common >= per_cent * union, where union = both sizes - common.
+    joined = salted_join(edges.join(a, "a"), b, ("b",), hot, F.col("a")).where(F.least(F.size("ha"), F.size("hb")) * 100 >= F.greatest(F.size("ha"), F.size("hb")) * per_cent)
     both = joined.select("a", "b", sized.alias("both"), F.size(F.array_intersect("ha", "hb")).alias("common"))
     found = written(both.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * per_cent).select("a", "b"), "links")
-    inner = written(components(found), "inner")
+    inner = components(found)
     more = _rest(edges, inner.withColumnRenamed("root", "comp"), sets, per_cent)
     # The components so far stand for their links.
     return inner.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
@@ -164,12 +186,13 @@ def links(docs: DataFrame, classes: DataFrame, size: int, per_cent: int, id_col:
 def _rest(edges: DataFrame, inner: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """Links across the components (node, comp) of a family that no star could show."""
     family = components(edges).withColumnRenamed("root", "family")
-    at = family.join(inner, "node", "left").select("node", "family", F.coalesce("comp", "node").alias("comp"))
-    open_ = at.groupBy("family").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("n > 2 and lo <> hi").select("family")
-    rows = at.join(open_, "family").join(sets, "node")
-    rows = written(rows, "open")
-    blocks = rows.groupBy("family").agg(F.ceil(F.sum(F.size("hashes")) / F.lit(BLOCK_SHINGLES)).cast("int").alias("m"))
-    rows = rows.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    sizes = sets.select("node", F.size("hashes").alias("size"))
+    at = family.join(inner, "node", "left").join(sizes, "node").select("node", "family", F.coalesce("comp", "node").alias("comp"), "size")
+    by_family = at.groupBy("family").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES)).cast("int").alias("m"))
+    open_ = written(by_family.where("n > 2 and lo <> hi").select("family", "n", "m"), "open")
+    hot = hot_keys(open_, ("family",), "n", open_.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    rows = salted_join(at.select("node", "family", "comp"), open_.select("family", "m"), ("family",), hot, F.col("node")).join(sets, "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     rows = rows.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "hashes")
 
@@ -227,15 +250,21 @@ def across(pdf: pd.DataFrame, per_cent: int) -> list[tuple[int, int]]:
     return out
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id, kept of every row."""
-    sketch = written(sketches(docs, size, id_col, text_col), "sketches")
-    classes = sketch.where("node is not null and id is not null").groupBy("node").agg(F.min(F.struct("id", "n_shingles", "bands")).alias("c"))
-    classes = written(classes.select("node", "c.id", "c.n_shingles", "c.bands"), "classes")
+def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, n_shingles, component_id, kept (and kept columns) of every row."""
+    sketch = written(sketches(docs, size, id_col, text_col, keep), "sketches")
+    rows = sketch.where("k1 is not null and id is not null")
+    by_set = rows.groupBy("k1", "k2").agg(F.min(F.struct("id", "n_shingles", "bands")).alias("c"), F.count("*").alias("n"))
+    # Numbers that differ for different sets; fixed by being written.
+    classes = written(by_set.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "n", "c.id", "c.n_shingles", "c.bands"), "classes")
     joined = written(components(links(docs, classes, size, per_cent, id_col, text_col)), "components")
-    ids = classes.select("node", "id").join(joined, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
-    least = ids.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_node = ids.join(least, "root").select("node", "component_id")
-    out = sketch.select("id", "n_shingles", "node").join(by_node, "node", "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+    ids = classes.select("node", "k1", "k2", "id").join(joined, "node", "left").select("k1", "k2", "id", F.coalesce("root", "node").alias("root"))
+    least = ids.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
+    n_classes, n_rows = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    found = salted_join(ids, least.select("root", "component_id"), ("root",), hot_keys(least, ("root",), "n", n_classes), F.col("id")).select("k1", "k2", "component_id")
+    # Rows without a set or an id aren't joined.
+    known = salted_join(rows.drop("bands"), found, ("k1", "k2"), hot_keys(classes, ("k1", "k2"), "n", n_rows), F.col("id"))
+    alone = sketch.where("k1 is null or id is null").drop("bands").withColumn("component_id", F.col("id"))
+    out = known.unionByName(alone)
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"), *(F.col(f"_keep_{c}").alias(c) for c in keep))
