@@ -2,31 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailforge.shared import new_path, shared_dir, written  # noqa: F401 (used by the operators)
+
 #: Rows of one Arrow batch sent to Python. Texts may be long, so batches are kept short.
 ARROW_ROWS = 512
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='trailforge-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one, for files that tasks write."""
     path = new_path(spark, name)
@@ -35,14 +24,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared folder and read it back. Survives the loss of executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of an Arrow batch by rows; a lower setting of the user stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -96,7 +77,8 @@ def map_file(folder: str, name: str):
     if fs.type_name == "local":
         local = f"{at}/{name}"
     else:
-        local = f"{tempfile.gettempdir()}/{name}-{abs(hash(folder))}"
+        # A worker's own cache of a file that is whole in the store; every host makes its own, a lost one is made anew.
+        local = f"{tempfile.gettempdir()}/{name}-{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
         if not os.path.exists(local):
             with fs.open_input_stream(f"{at}/{name}", compression=None) as f, open(f"{local}.{os.getpid()}", "wb") as out:
                 while part := f.read(1 << 20):

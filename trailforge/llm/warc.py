@@ -5,11 +5,13 @@
 2. Records and decisions are range-sorted by id together, so every decision stands beside its record and payloads move
    once. Ids spread evenly, whatever a payload's or a host's share.
 3. Each task writes its range to files that roll when their compressed size passes ``ROLL_BYTES``. Headers and digests
-   are made anew; each record is a gzip member of its own; dates come from a parameter. So the bytes depend on the rows
-   alone. A file is written under a temporary name and renamed when it is whole; a manifest of each task's files is
+   are made anew; each record is a gzip member of its own; dates come from a parameter. So a record's bytes depend on
+   its row and its payload's first page alone, and the archives, read in order, on the rows alone; where a file ends
+   also depends on the number of partitions. A file is written under a temporary name and renamed when it is whole; a manifest of each task's files is
    committed by Spark's own writer. A task that runs again replaces its files by the same bytes.
 
-Defined results: null html is an empty payload, null url an empty target; payloads shorter than ``least`` bytes are
+Defined results: null html is an empty payload, null url an empty target; blanks, control and non-ASCII characters of a
+url are percent-encoded in the target; payloads shorter than ``least`` bytes are
 always responses; rows that repeat an id and a payload give one response and revisits of the same id; rows with a null
 id are responses; an empty table gives no rows; extra columns are ignored.
 """
@@ -22,17 +24,19 @@ import hashlib
 import io
 import uuid
 import zlib
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailforge.llm.common import Batches, files_at, new_path, small_batches
+from trailforge.llm.common import Batches, files_at, new_path, small_batches, written
+from trailforge.operators.skew import hot_keys, salted_join
 
 ROLL_BYTES = 64_000_000
 DATE = "2024-01-01T00:00:00Z"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: High half of our record ids; the low half is the page's id.
+#: High half of our record ids (its lower 48 bits count the rows of an id); the low half is the page's id.
 _SPACE = 0x7A1F0C5E000080000000000000000000
 
 
@@ -43,7 +47,7 @@ def digest32(data: bytes) -> str:
 def record_id(page: int | None, copy: int = 0) -> str:
     """A UUID that holds the page's id; copy tells rows that repeat it apart. Null ids use a range of their own."""
     low = ((page or 0) & 0xFFFFFFFFFFFFFFFF) | (_SPACE & ~0xFFFFFFFFFFFFFFFF)
-    return f"<urn:uuid:{uuid.UUID(int=low ^ ((copy & 0xFFFF) << 64) ^ ((page is None) << 80))}>"
+    return f"<urn:uuid:{uuid.UUID(int=low ^ ((copy & 0xFFFFFFFFFFFF) << 64) ^ ((page is None) << 112))}>"
 
 
 def page_of(record: str) -> int:
@@ -51,17 +55,25 @@ def page_of(record: str) -> int:
     return low - (1 << 64) if low >> 63 else low
 
 
+#: Printable ASCII characters; all others of a target are percent-encoded, as are its UTF-8 bytes.
+_PLAIN = "".join(map(chr, range(0x21, 0x7F)))
+
+
+def target(url: str) -> str:
+    """The url without blanks, line ends or other characters that a header can't hold; what it is encoded to stays readable."""
+    return quote(url.encode("utf-8", "surrogatepass"), safe=_PLAIN)
+
+
 def record(page: int | None, url: str, payload: bytes, first: int | None, copy: int, date: str = DATE) -> bytes:
     """One record, uncompressed. first: the page that has the same payload, for a revisit."""
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = head if first is not None else head + payload
-    clean = "".join(c for c in url if c.isprintable() and c != " ")
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if first is not None else 'response'}",
         f"WARC-Record-ID: {record_id(page, copy)}",
         f"WARC-Date: {date}",
-        f"WARC-Target-URI: {clean}",
+        f"WARC-Target-URI: {target(url)}",
         f"WARC-Payload-Digest: sha1:{digest32(payload)}",
         f"WARC-Block-Digest: sha1:{digest32(block)}",
         f"WARC-Payload-Length: {len(payload)}",
@@ -116,8 +128,11 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, roll_bytes: in
     thin = rows.where("id is not null").where(F.length("payload") >= least).select("id", F.sha1("payload").alias("sha"))
     # The first of a digest and, where it has more rows than one, the repeats. Equal payloads are one group before the shuffle.
     counted = thin.groupBy("sha", "id").count()
-    first = counted.groupBy("sha").agg(F.min("id").alias("first"), F.sum("count").alias("n")).where("n > 1").select("sha", "first")
-    repeats = counted.join(first, "sha").where("id <> first or count > 1").select("id", "sha", "first")
+    first = counted.groupBy("sha").agg(F.min("id").alias("first"), F.sum("count").alias("n")).where("n > 1")
+    # A payload that very many pages have is dealt to several parts. What is joined are thin rows, written once.
+    first = written(first, "repeats")
+    hot = hot_keys(first, ("sha",), "n", first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    repeats = salted_join(counted, first.select("sha", "first"), ("sha",), hot, F.col("id")).where("id <> first or count > 1").select("id", "sha", "first")
     both = rows.select("id", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("first"), F.sha1("payload").alias("sha")).unionByName(
         repeats.select("id", F.lit(0).alias("kind"), F.lit("").alias("url"), F.lit(b"").alias("payload"), "first", "sha")
     )
