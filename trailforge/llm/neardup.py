@@ -251,7 +251,7 @@ def across(pdf: pd.DataFrame, per_cent: int) -> list[tuple[int, int]]:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, n_shingles, component_id, kept (and kept columns) of every row."""
+    """id, n_shingles, component_id, kept, component (the component's own number, any; null where a row is in none), kept columns of every row."""
     sketch = written(sketches(docs, size, id_col, text_col, keep), "sketches")
     rows = sketch.where("k1 is not null and id is not null")
     by_set = rows.groupBy("k1", "k2").agg(F.min(F.struct("id", "n_shingles", "bands")).alias("c"), F.count("*").alias("n"))
@@ -261,10 +261,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80, id_col:
     ids = classes.select("node", "k1", "k2", "id").join(joined, "node", "left").select("k1", "k2", "id", F.coalesce("root", "node").alias("root"))
     least = ids.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
     n_classes, n_rows = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    found = salted_join(ids, least.select("root", "component_id"), ("root",), hot_keys(least, ("root",), "n", n_classes), F.col("id")).select("k1", "k2", "component_id")
+    found = salted_join(ids, least.select("root", "component_id"), ("root",), hot_keys(least, ("root",), "n", n_classes), F.col("id")).select("k1", "k2", "component_id", F.col("root").alias("component"))
     # Rows without a set or an id aren't joined.
     known = salted_join(rows.drop("bands"), found, ("k1", "k2"), hot_keys(classes, ("k1", "k2"), "n", n_rows), F.col("id"))
-    alone = sketch.where("k1 is null or id is null").drop("bands").withColumn("component_id", F.col("id"))
+    alone = sketch.where("k1 is null or id is null").drop("bands").withColumns({"component_id": F.col("id"), "component": F.lit(None).cast("long")})
     out = known.unionByName(alone)
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"), *(F.col(f"_keep_{c}").alias(c) for c in keep))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"), "component", *(F.col(f"_keep_{c}").alias(c) for c in keep))

@@ -24,7 +24,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trailforge.llm.neardup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"), size=4, per_cent=80)
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, per_cent=80).drop("component")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
