@@ -2,6 +2,9 @@
 
 Rows go through with the columns of documents; the last stage gives the packed pieces. A stage is handed a table that
 was written and read again, so nothing is computed twice; ``run`` writes each stage's result to the shared folder.
+
+Defined results: rows with null or empty texts go through all stages and are packed as one closing token each; null ids
+stay null; an empty table gives no rows; further columns of documents, whatever their names, are left behind at the first stage.
 """
 
 from __future__ import annotations
@@ -28,9 +31,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. Shingles of five words, a similarity of 0.8."""
-    kept = near_duplicates(docs, size=5, per_cent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    """One document of each group stays: the one with the smallest id. Shingles of five words, a similarity of 0.8.
+
+    Rows are told apart by id and text: of rows that repeat both, the one with the least other columns stays; an id with
+    two texts is two documents. Rows without an id are grouped as others are, but after all rows that have one. Rows
+    without words are linked with nothing, and all stay.
+    """
+    last = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    keyed = docs.select(*COLUMNS, F.coalesce("doc_id", last).alias("_id"), F.md5(F.coalesce("text", F.lit(""))).alias("_text_key"))
+    found = near_duplicates(keyed, size=5, per_cent=80, id_col="_id", keep=("_text_key",)).where("n_shingles > 0")
+    # An id with two texts in one group: the text with the smaller key stays.
+    texts = found.where("kept").groupBy("_id", "_text_key", "component").agg(F.count("*").alias("n"))
+    first = texts.groupBy("_id", "component").agg(F.min("_text_key").alias("_text_key"))
+    stays = texts.join(first, ["_id", "component", "_text_key"]).select("_id", "_text_key", "n")
+    decided = keyed.join(stays, ["_id", "_text_key"], "left")
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    single = decided.where((F.col("n") == 1) | wordless).select(*COLUMNS)
+    repeated = decided.where((F.col("n") > 1) & ~wordless).groupBy("_id", "_text_key").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
+    return single.unionByName(repeated)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +75,7 @@ STAGES = [
     ("personal_data", redact_personal_data),
     ("packing", pack_sequences),
 ]
-#: SQL can't express the classifier, the tokenizer or the packing; tests hold the stages against brute force.
+#: SQL can't express the classifier, the tokenizer or the packing; a test holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
