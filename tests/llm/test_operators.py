@@ -750,6 +750,58 @@ def test_personal_data(spark, docs, no_docs):
     assert pii.report(no_docs).count() == 0
 
 
+#: Patterns that neither the fit nor the thresholds have seen.
+HELD = (
+    ("number", "ring me on {d3:1}-{d3:2}-{d4:3} tonight"),
+    ("number", "home phone ({d3:1}){d3:2}-{d4:3}"),
+    ("number", "whatsapp/tel {d3:1} {d3:2} {d4:3} {w:4}"),
+    ("email2", "mail me: {w:4}{d2:1} [at] mail [dot] example [dot] org"),
+    ("email2", "{w:4}-{w:5}(at){w:6}.net"),
+    ("secret", "export API_KEY={h:5}"),
+    ("secret", "client_secret = \"{h:6}\""),
+    ("", "chapter {d2:1}.{d2:2} {w:4}"),
+    ("", "on 20{d2:1}/{d2:2} it was {d2:3}.{d1:4}"),
+    ("", "serial {d10:1}{d12:2}"),
+    ("", "from {d3:1}.{d1:2} to {d2:3} km/h"),
+    ("", "{d5:1} {w:4} and {d2:2} more"),
+    ("", "{w:4} won {d1:1}-{d1:2} {w:5}"),
+    ("", "laugh (at) me. please"),
+    ("", "the key: whatever-works"),
+)
+
+
+def test_added_spans_on_held_out_patterns(spark):
+    """Precision and recall of the generators' spans on patterns of their own, and trees as SQL against the trees."""
+    from pyspark.sql import functions as F
+
+    made = pii.sentences(spark, 1500, HELD)
+    fitted = pii.model(spark)
+    found = pii.report(made.withColumnRenamed("id", "doc_id")).where("n_card = 0")  # a long number may be a card by its check digit
+    hit = {(r["label"] != "", r["hit"]): r["n"] for r in made.join(found, F.col("id") == F.col("doc_id")).groupBy(F.when(F.col("label") != "", "x").otherwise("").alias("label"), (F.col("spans") != "").alias("hit")).agg(F.count("*").alias("n")).collect()}
+    recall = hit.get((True, True), 0) / (hit.get((True, True), 0) + hit.get((True, False), 0))
+    precision = hit.get((True, True), 0) / (hit.get((True, True), 0) + hit.get((False, True), 0))
+    print(f"recall {recall:.3f}, precision {precision:.3f}")
+    assert recall >= 0.9 and precision >= 0.9
+    for k, (prior, trees, _) in fitted.items():
+        rows = made.select(F.explode(pii._featured(pii.matches(F.col("text"), pii.PROPOSED[k]))).alias("c")).select("c", pii.score(prior, trees)(F.col("c")).alias("z")).collect()
+        assert rows and all(r["z"] == pytest.approx(prior + sum(pii.leaf(t, [r["c"][f] for f in pii.FEATURES]) for t in trees), abs=1e-9) for r in rows)
+
+
+def test_overlaps_among_many_spans(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in (0, 1, 15, 16, 17, 100, 700):
+        e = np.cumsum(rng.integers(1, 6, 2 * n)).tolist()
+        o = list(zip(e[::2], e[1::2], strict=True))
+        x = [(int(a), int(a + k)) for a, k in zip(rng.integers(0, 8 * n + 5, 60), rng.integers(1, 9, 60), strict=True)]
+        rows.append((o, x))
+    df = spark.createDataFrame(rows, "o array<struct<s:int,e:int>>, x array<struct<s:int,e:int>>")
+    for r in df.select("o", "x", pii._apart(F.col("x"), [F.col("o"), F.col("o")]).alias("got")).collect():
+        assert [tuple(g) for g in r["got"]] == [tuple(x) for x in r["x"] if not any(x[0] < o[1] and o[0] < x[1] for o in r["o"])]
+
+
 def test_redaction(docs):
     got = {r["doc_id"]: r["text"] for r in pii.redacted(docs).collect()}
     assert got[3] is None and got[4] == ""
