@@ -34,6 +34,55 @@ def test_interval_join_equals_brute_force(spark):
     assert {r["event_id"]: (r["session_id"], r["duration_hint"]) for r in both.collect()} == {i: best(t, sessions, True) for i, t in events}
 
 
+def test_repeated_and_null_events_keep_their_own_session(spark, monkeypatch):
+    from trailforge.operators import skew
+
+    h = lambda m: dt.datetime(2024, 1, 1, 10, m)
+    e = spark.createDataFrame([(1, h(0)), (1, h(40)), (1, h(0)), (None, h(0)), (2, None), (None, h(40))], "event_id long, t timestamp")
+    s = spark.createDataFrame([("a", h(0), h(1)), ("b", h(39), h(50)), ("c", h(58), None)], "stream string, start timestamp, end timestamp")
+    a, b, none = ("a:2024-01-01T10:00:00", 60), ("b:2024-01-01T10:39:00", 660), (None, None)
+    want = sorted(map(str, [(1, *a), (1, *b), (1, *a), (None, *a), (2, *none), (None, *b)]))
+    for least in (1000, 1):  # without and with hot bins
+        monkeypatch.setattr(skew, "LEAST", least)
+        assert sorted(str((r["event_id"], r["session_id"], r["duration_hint"])) for r in joins.interval_join(e, s).collect()) == want
+
+
+def test_fields_that_are_there_stay(spark):
+    rows = [(1, '{"session_id": "own"}', "own", dt.datetime(2024, 1, 1)), (2, '{"session_id": null}', None, dt.datetime(2024, 1, 1)), (3, "{}", None, dt.datetime(2024, 1, 1))]
+    e = spark.createDataFrame(rows, "event_id long, _raw string, session_id string, t timestamp")
+    s = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 1))], "stream string, start timestamp, end timestamp")
+    out = joins.interval_join(e, s)
+    assert out.columns.count("session_id") == 1
+    assert {r["event_id"]: r["session_id"] for r in out.collect()} == {1: "own", 2: None, 3: "a:2024-01-01T00:00:00"}
+    assert {r["session_id"] for r in joins.interval_join(e.drop("_raw"), s).collect()} == {"own", None}
+
+
+def test_salted_joins_equal_plain_ones(spark):
+    from trailforge.operators.skew import hot_keys, salted_join
+
+    rows = spark.createDataFrame([(i % 3 if i % 10 else None, i) for i in range(3000)], "k int, v int")
+    table = spark.createDataFrame([(0, "a"), (1, "b"), (7, "c")], "k int, s string")
+    counts = rows.groupBy("k").count()
+    assert hot_keys(counts, ("k",), "count", 900) is None and hot_keys(counts, ("k",), "count", 3000).count() == 0
+    hot = spark.createDataFrame([(0, 5)], "k int, _salts int")
+    for how in ("inner", "left"):
+        key = lambda df: sorted(map(str, df.select("k", "v", "s").collect()))
+        assert key(salted_join(rows, table, ("k",), hot, F.col("v"), how)) == key(rows.join(table, "k", how))
+
+
+def test_mersenne_split_is_pythons(spark):
+    import hashlib
+
+    names = [f"d{i}.org" for i in range(300)] + [None, "d1.org"]
+    got = {r["d"]: r["split"] for r in sampling.mersenne_split(spark.createDataFrame([(n,) for n in names], "d string"), "d").collect()}
+    want = {}
+    for n in names[:300]:
+        random.seed(int(hashlib.md5(n.encode()).hexdigest(), 16))
+        x = random.random()
+        want[n] = "train" if x < 0.8 else "val" if x < 0.9 else "test"
+    assert got == want
+
+
 def test_the_longest_session_wins(spark):
     h = lambda x, m: dt.datetime(2024, 1, 1, x, m)
     e = spark.createDataFrame([(1, h(10, 0))], "event_id long, t timestamp")
@@ -190,7 +239,12 @@ def test_pages_to_examples_modes(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, title string, text string")
     made, drops = layouts.pages_to_examples(pages)
     assert [r["meta"]["title"] for r in made.collect()] == ["T"]
-    assert {r["drop_reason"]: r["n"] for r in drops.collect()} == {"no_cache": 1, "too_short": 1}
+    assert {r["drop_reason"]: r["n"] for r in drops.collect()} == {"no_cache": 1, "too_short": 1, "dedup": 1, "near_dup": 3}
+    again = pages.unionByName(spark.createDataFrame([(1, "https://x.org/e", "X", body + " more"), (None, "https://x.org/f", "Y", body[::-1])], pages.schema))
+    made, drops = layouts.pages_to_examples(again, mode="intended")
+    assert sorted(r["meta"]["title"] for r in made.collect()) == ["T"] * 3 + ["Y"] * 2
+    made, drops = layouts.pages_to_examples(pages, limit=1)
+    assert [r["meta"]["title"] for r in made.collect()] == ["T"] and {r["drop_reason"] for r in drops.collect()} == {"near_dup"}
     assert layouts.pages_to_examples(pages, mode="intended")[0].count() == 3
 
 

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from trailforge.plans import queries as plans
+from trailforge.plans import all_queries as plans
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")

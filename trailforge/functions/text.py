@@ -75,7 +75,7 @@ def templates(topic_: Column, domain: Column, text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Distinct words between white space."""
-    return F.array_distinct(F.filter(F.split(text, r"(?U)\s+"), lambda t: t != ""))
+    return F.array_remove(F.array_distinct(F.split(text, r"(?U)\s+")), "")
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trailforge.functions.constants import NEAR_DUP
 from trailforge.functions.text import tokens
+from trailforge.operators.skew import hot_keys, salted_join
 from trailforge.shared import written
 
 
@@ -17,37 +18,54 @@ def exact_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
 
 
 def word_sets(rows: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """id, w, k: distinct words in order and their hash, of rows that have words."""
-    return cut(rows.select(F.col(id_col).alias("id"), F.array_sort(tokens(text)).alias("w")).where(F.size("w") > 0).withColumn("k", F.xxhash64("w")))
+    """id, k, h: 128-bit hash of the distinct words, and the words' 64-bit hashes in order, of rows that have words."""
+    w = rows.select(F.col(id_col).alias("id"), F.sort_array(tokens(text)).alias("w")).where(F.size("w") > 0)
+    # No word has white space in it.
+    return cut(w.select("id", F.md5(F.array_join("w", " ")).alias("k"), F.sort_array(F.transform("w", lambda x: F.xxhash64(x))).alias("h")))
 
 
-def similar_classes(sets: DataFrame, over: float) -> DataFrame:
-    """ka < kb, similarity: pairs of different word sets whose Jaccard similarity is over the threshold.
+def classes_of(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """c, first (least id), h of the different sets, c being a number of its own; and id, c of every row."""
+    classes = cut(sets.groupBy("k").agg(F.min("id").alias("first"), F.first("h").alias("h"), F.count("*").alias("n")).withColumn("c", F.monotonically_increasing_id()))
+    total = sets.count()
+    members = salted_join(sets.select("id", "k"), classes.select("k", "c"), ("k",), hot_keys(classes, ("k",), "n", total), F.col("id"))
+    return classes.select("c", "first", "h"), members.select("id", "c")
 
-    Prefix filter: in a global order of words (rare first), two sets that are similar enough share a word in their first
-    |x| - ceil(over * |x|) + 1 words.
+
+def similar_classes(classes: DataFrame, over: float) -> DataFrame:
+    """ca < cb, similarity: pairs of different word sets whose Jaccard similarity is over the threshold.
+
+    Words are ordered by how many sets have them, rare first. Two sets that are similar enough share a word among their
+    first |x| - ceil(over * |x|) + 1 words; where the first such word stands tells how many they can have in common.
+    A word that very many sets have so early is dealt to several parts of the join.
     """
-    classes = sets.groupBy("k").agg(F.first("w").alias("w"), F.size(F.first("w")).alias("n"))
-    words = classes.select("k", F.explode("w").alias("word"))
+    n = F.size("h")
+    words = classes.select("c", n.alias("n"), F.explode("h").alias("word"))
     seen = words.groupBy("word").count()
-    ranked = words.join(seen, "word").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("count", "word"))).alias("o"))
+    ranked = words.join(seen, "word").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("count", "word"))).alias("o"))
     n = F.size("o")
-    prefix = ranked.select("k", n.alias("n"), F.explode(F.slice("o", 1, (n - F.ceil(n * F.lit(over) - 1e-9) + 1).cast("int"))).alias("p")).where("p.count > 1")
-    p = prefix.select("k", "n", F.col("p.word").alias("word"))
-    a, b = (p.select(F.col("k").alias(f"k{x}"), F.col("n").alias(f"n{x}"), "word") for x in "ab")
-    cand = a.join(b, "word").where((F.col("ka") < F.col("kb")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(over))).select("ka", "kb").distinct()
-    wa, wb = (classes.select(F.col("k").alias(f"k{x}"), F.col("w").alias(f"w{x}")) for x in "ab")
-    common = F.size(F.array_intersect("wa", "wb"))
-    return cand.join(wa, "ka").join(wb, "kb").select("ka", "kb", (common / (F.size("wa") + F.size("wb") - common)).alias("similarity")).where(F.col("similarity") > over)
+    first = ranked.select("c", n.alias("n"), F.posexplode(F.slice("o", 1, (n - F.ceil(n * F.lit(over) - 1e-9) + 1).cast("int"))).alias("i", "p")).where("p.count > 1")
+    first = cut(first.select("c", "n", "i", F.col("p.word").alias("word")))
+    by_word = first.groupBy("word").agg(F.count("*").alias("m"))
+    hot = hot_keys(by_word, ("word",), "m", first.count())
+    a, b = (first.select(F.col("c").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("i").alias(f"i{x}"), "word") for x in "ab")
+    room = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    needed = F.lit(over / (1 + over)) * (F.col("na") + F.col("nb")) - 1e-9
+    pairs = salted_join(a, b, ("word",), hot, F.col("ca")).where((F.col("ca") < F.col("cb")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(over)) & (room >= needed))
+    cand = pairs.select("ca", "cb").distinct()
+    ha, hb = (classes.select(F.col("c").alias(f"c{x}"), F.col("h").alias(f"h{x}")) for x in "ab")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return cand.join(ha, "ca").join(hb, "cb").select("ca", "cb", (common / (F.size("ha") + F.size("hb") - common)).alias("similarity")).where(F.col("similarity") > over)
 
 
 def similar_pairs(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_DUP) -> DataFrame:
-    """a < b, similarity: all pairs of rows over the threshold. Rows of equal sets are compared once, and paired at the end."""
-    sets = word_sets(rows, id_col, text)
-    ids = sets.select("id", "k")
-    ia, ib = (ids.select(F.col("id").alias(f"i{x}"), F.col("k").alias(f"k{x}")) for x in "ab")
-    across = similar_classes(sets, over).join(ia, "ka").join(ib, "kb").select("ia", "ib", "similarity")
-    inside = ia.join(ids.select(F.col("id").alias("ib"), F.col("k").alias("ka")), "ka").where("ia < ib").select("ia", "ib", F.lit(1.0).alias("similarity"))
+    """a < b, similarity: all pairs of rows over the threshold. Rows of equal sets are compared once, and paired at the end,
+    since the result names every pair; ``greedy_kept`` needs no such pairs."""
+    classes, members = classes_of(word_sets(rows, id_col, text))
+    ids = cut(members)
+    ia, ib = (ids.select(F.col("id").alias(f"i{x}"), F.col("c").alias(f"c{x}")) for x in "ab")
+    across = similar_classes(classes, over).join(ia, "ca").join(ib, "cb").select("ia", "ib", "similarity")
+    inside = ia.join(ids.select(F.col("id").alias("ib"), F.col("c").alias("ca")), "ca").where("ia < ib").select("ia", "ib", F.lit(1.0).alias("similarity"))
     return across.unionByName(inside).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "similarity")
 
 
@@ -63,10 +81,9 @@ def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_D
     them. So the rounds run over the first rows of the sets, and no pairs of copies are made. In each round, a row whose
     earlier neighbours are all dropped is kept; one with a kept earlier neighbour is dropped.
     """
-    sets = word_sets(rows, id_col, text)
-    first = cut(sets.groupBy("k").agg(F.min("id").alias("first")))
-    fa, fb = (first.select(F.col("k").alias(f"k{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
-    between = similar_classes(sets, over).join(fa, "ka").join(fb, "kb")
+    classes, members = classes_of(word_sets(rows, id_col, text))
+    fa, fb = (classes.select(F.col("c").alias(f"c{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+    between = similar_classes(classes, over).join(fa, "ca").join(fb, "cb")
     pairs = cut(between.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")))
     ids = rows.select(F.col(id_col).alias("id"))
     state = cut(pairs.select(F.col("b").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
@@ -78,5 +95,5 @@ def greedy_kept(rows: DataFrame, id_col: str, text: Column, over: float = NEAR_D
         )
         new = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("hit"), False).when(F.col("waits") == 0, True)
         state = cut(state.join(verdict.withColumnRenamed("b", "id"), "id").select("id", new.alias("kept")))
-    copies = sets.join(first, "k").where("id <> first").select("id", F.lit(False).alias("kept"))
+    copies = members.join(classes.select("c", "first"), "c").where("id <> first").select("id", F.lit(False).alias("kept"))
     return ids.join(state.unionByName(copies), "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(True)).alias("kept"))

@@ -5,41 +5,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailforge.functions import time as T
 from trailforge.functions.constants import SLOP_SECONDS
 from trailforge.functions.url import canonical
+from trailforge.operators.skew import hot_keys, salted_join
 
 #: Width of a time bin in seconds.
 BIN_SECONDS = 3600
 
 
-def interval_join(events: DataFrame, sessions: DataFrame, slop: int = SLOP_SECONDS, bin_seconds: int = BIN_SECONDS, keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
-    """Each event (keys, t) with the longest session (stream, start, end, and prio if there is one) that it falls into.
+def interval_join(events: DataFrame, sessions: DataFrame, slop: int = SLOP_SECONDS, bin_seconds: int = BIN_SECONDS) -> DataFrame:
+    """Each event (a row with t) with the longest session (stream, start, end, and prio if there is one) that it falls into.
 
-    A session reaches from start - slop to end + slop. It is dealt to the bins of time it touches, and an event has one
-    bin, so the join has an equality and pairs don't repeat. Of several matches the longest session wins, then the one
-    that starts last, then the stream's name; with prio, a lower one goes first. Events without a match stay, with nulls.
+    A session reaches from start - slop to end + slop. Which session wins depends on the time alone, so distinct times
+    are joined, not events: a time has one bin, a session is dealt to the bins it touches, and pairs don't repeat. A bin
+    with very many times is dealt to several parts. Of several matches the longest session wins, then the one that starts
+    last, then the stream's name; with prio, a lower one goes first. Events without a match, or without a time, stay with
+    nulls; rows that repeat stay as they are. Events that have a session_id or duration_hint keep them (as ``add_absent``).
     """
     second = lambda c: F.unix_micros(c) / F.lit(1_000_000)
     prio = "prio" if "prio" in sessions.columns else None
-    s = sessions.where("start is not null and end is not null").select("stream", "start", "end", *([prio] if prio else []))
+    s = sessions.where("start is not null and end is not null").select("stream", "start", "end", *([prio] if prio else [])).distinct()
     lo = F.floor((second(F.col("start")) - slop) / bin_seconds)
     hi = F.floor(F.greatest(second(F.col("end")) + slop, second(F.col("start"))) / bin_seconds)
     s = s.withColumn("_bin", F.explode(F.sequence(lo, hi)))
-    e = events.withColumn("_bin", F.floor(second(F.col("t")) / bin_seconds))
+    times = events.select("t").where("t is not null").distinct().withColumn("_bin", F.floor(second(F.col("t")) / bin_seconds))
+    by_bin = times.groupBy("_bin").agg(F.count("*").alias("n"))
+    hot = hot_keys(by_bin, ("_bin",), "n", by_bin.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     gap = F.expr(f"interval {slop} seconds")
     meets = (F.col("t") >= F.col("start") - gap) & ((F.col("t") < F.col("start")) | (F.col("t") <= F.col("end") + gap))
-    pairs = e.select(*keys, "t", "_bin").join(s, "_bin").where(meets)
+    pairs = salted_join(times, s, ("_bin",), hot, F.col("t")).where(meets)
     length = second(F.col("end")) - second(F.col("start"))
-    # The best of an event by one aggregation, combined on the map side; no window over a hot event's sessions.
+    # The best of a time by one aggregation, combined on the map side; no window over a time's sessions.
     rank = F.struct(*([(-F.col("prio")).alias("p")] if prio else []), length.alias("len"), F.col("start").alias("start"), F.col("end").alias("end"))
-    best = pairs.groupBy(*keys).agg(F.max_by(F.struct("stream", "start", "end"), F.struct(rank, _reversed(F.col("stream")))).alias("s"))
-    joined = events.join(best, list(keys), "left")
-    start = F.date_format("s.start", "yyyy-MM-dd'T'HH:mm:ss")
-    return joined.select(
-        *events.columns,
-        F.concat(F.col("s.stream"), F.lit(":"), start).alias("session_id"),
-        (second(F.col("s.end")) - second(F.col("s.start"))).cast("long").alias("duration_hint"),
-    )
+    best = pairs.groupBy("t").agg(F.max_by(F.struct("stream", "start", "end"), F.struct(rank, _reversed(F.col("stream")))).alias("_s"))
+    joined = events.join(best, "t", "left")
+    new = {
+        "session_id": F.concat(F.col("_s.stream"), F.lit(":"), F.date_format("_s.start", "yyyy-MM-dd'T'HH:mm:ss")),
+        "duration_hint": (second(F.col("_s.end")) - second(F.col("_s.start"))).cast("long"),
+    }
+    return add_absent(joined.select(*events.columns, "_s"), new).drop("_s")
+
+
+def add_absent(rows: DataFrame, new: dict[str, Column], raw: str = "_raw") -> DataFrame:
+    """Columns that a row doesn't have yet. Where the rows have their JSON line, a key that is there (even null) stays; else a column that is there."""
+    out = {}
+    for name, c in new.items():
+        if name not in rows.columns:
+            out[name] = c
+        elif raw in rows.columns:
+            out[name] = F.when(F.array_contains(F.json_object_keys(raw), name), F.col(name)).otherwise(c.cast(rows.schema[name].dataType))
+    return rows.withColumns(out) if out else rows
+
+
+def session_fields(events: DataFrame, user: DataFrame, system: DataFrame, slop: int = SLOP_SECONDS) -> DataFrame:
+    """Enriched events (visited_at_iso, and _raw) with session_id, duration_hint, time_of_day, day_of_week where they lack these keys."""
+    v = F.col("visited_at_iso")
+    joined = priority_join(events.withColumn("t", T.instant(v)), user, system, slop).drop("t")
+    return add_absent(joined, {"time_of_day": T.wall_clock(v), "day_of_week": T.weekday(v)})
 
 
 def _reversed(c: Column) -> Column:
@@ -60,12 +83,29 @@ def page_cache_join(visits: DataFrame, cache: DataFrame) -> DataFrame:
     return hit.withColumn("drop_reason", F.when(F.col("_hit").isNull(), "no_cache").when(F.col("text").isNull(), "cache_read_error")).drop("_hit")
 
 
-def youtube_cache_join(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """Events (profile, url) with the first cached page (profile, path, video_id, content_meta) of their video."""
+def youtube_cache_join(events: DataFrame, pages: DataFrame, containing: bool = False) -> DataFrame:
+    """Events (browser, profile, url) with the first cached page of their video; content_meta is null without one.
+
+    Without a profile, chrome's is Default and other browsers have none. pages: profile, path, video_id, content_meta; or,
+    with ``containing``, profile, path, html: then the first page of the profile whose text holds the id as a word counts.
+    """
     from trailforge.functions.url import video_id
 
-    first = pages.groupBy("profile", "video_id").agg(F.min_by("content_meta", "path").alias("content_meta"))
-    return events.withColumn("video_id", video_id(F.col("url"))).join(first, ["profile", "video_id"], "left")
+    profile = F.when(F.coalesce(F.col("profile") != "", F.lit(False)), F.col("profile"))
+    if "browser" in events.columns:
+        profile = profile.when(F.lower("browser") == "chrome", "Default")
+    e = events.withColumns({"video_id": video_id(F.col("url")), "_profile": profile})
+    if containing:
+        from trailforge.sources.cache import player_response
+
+        wanted = e.where("video_id is not null and _profile is not null").select("_profile", "video_id").distinct()
+        held = pages.select(F.col("profile").alias("_profile"), "path", "html").where(F.col("html").contains("ytInitialPlayerResponse"))
+        ids = held.select("_profile", "path", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit("[A-Za-z0-9_-]+"), 0))).alias("video_id"))
+        path = ids.join(wanted, ["_profile", "video_id"]).groupBy("_profile", "video_id").agg(F.min("path").alias("path"))
+        first = path.join(held.drop("_profile"), "path").select("_profile", "video_id", player_response(F.col("html")).alias("content_meta"))
+    else:
+        first = pages.groupBy(F.col("profile").alias("_profile"), "video_id").agg(F.min_by("content_meta", "path").alias("content_meta"))
+    return e.drop("content_meta").join(first, ["_profile", "video_id"], "left").drop("_profile")
 
 
 def visits_items(visits: DataFrame, items: DataFrame, key: str = "item_id") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailforge.functions.url import is_youtube
+from trailforge.operators.dedup import cut
 
 SEED = 42
 
@@ -21,6 +22,11 @@ def spot_check(rows: DataFrame, key: str, n: int = 10, seed: int = SEED) -> Data
     return rows.orderBy(shuffled(F.col(key), seed), key).limit(n)
 
 
+def head(rows: DataFrame, order: str, n: int | None) -> DataFrame:
+    """The first n rows in order; all of them for 0 or None."""
+    return rows.orderBy(order).limit(n) if n else rows
+
+
 def per_group(rows: DataFrame, by: str, key: str, n: int, seed: int | str = SEED) -> DataFrame:
     w = Window.partitionBy(by).orderBy(shuffled(F.col(key), seed), key)
     return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
@@ -35,7 +41,7 @@ def golden(events: DataFrame, size: int = 150, key: str = "event_id", seed: int
     """
     e = events.withColumn("reason", F.coalesce("reason", F.lit("NONE")))
     reasons = e.select("reason").distinct().count()
-    picked = per_group(e, "reason", key, max(5, size // max(1, reasons)), seed)
+    picked = cut(per_group(e, "reason", key, max(5, size // max(1, reasons)), seed))
     video = is_youtube(F.coalesce("url", F.lit("")))
     stages = [(video & F.col("has_meta"), min(30, size // 5)), (video & ~F.col("has_meta"), 10), (F.col("has_session"), 20), (F.lit(True), size)]
     for i, (which, most) in enumerate(stages):
@@ -46,16 +52,22 @@ def golden(events: DataFrame, size: int = 150, key: str = "event_id", seed: int
         if i == len(stages) - 1:
             pool = pool.join(picked.select("url").distinct(), "url", "left_anti").select(*e.columns)
         new = spot_check(pool, key, min(most, room), seed)
-        picked = picked.unionByName(new.join(picked.select("url").distinct(), "url", "left_anti").select(*e.columns))
+        # A sample of bounded size: written, so that no stage computes the earlier ones again.
+        picked = cut(picked.unionByName(new.join(picked.select("url").distinct(), "url", "left_anti").select(*e.columns)))
     return spot_check(picked, key, size, f"{seed}c")
 
 
-def golden_by_topic(rows: DataFrame, topic: str, order: str, size: int = 100, candidates: int = 200) -> DataFrame:
-    """The first rows, as many from each topic as fit, at most size."""
+def golden_by_topic(rows: DataFrame, topic: str, order: str, size: int = 100, candidates: int = 200, seed: int = SEED) -> DataFrame:
+    """Of the first rows, as many from each topic as fit, in hashed order inside a topic, at most size."""
     head = rows.orderBy(order).limit(candidates)
     topics = max(1, head.select(topic).distinct().count())
-    w = Window.partitionBy(topic).orderBy(order)
-    return head.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max(1, size // topics)).drop("_n").orderBy(topic, order).limit(size)
+    w = Window.partitionBy(topic).orderBy(shuffled(F.col(order), seed), order)
+    return head.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max(1, size // topics)).orderBy(topic, "_n").drop("_n").limit(size)
+
+
+def shown(rows: DataFrame, by: str, key: str, sample: int = 200, each: int = 3, seed: int = SEED) -> DataFrame:
+    """Of a sample of rows, the first few of each group."""
+    return per_group(spot_check(rows, key, sample, seed), by, key, each, seed)
 
 
 def rank_split(rows: DataFrame, domain: str, seed: int = SEED) -> DataFrame:

@@ -2,18 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailforge.functions.sft import truthy
-from trailforge.functions.time import within_years
+from trailforge.functions.time import within_calendar_years, within_years
 from trailforge.functions.url import is_youtube
 
 
+def has_meta(events: DataFrame) -> Column:
+    """Whether an event has data of its page; an empty object has none. Told by the JSON line where there is one."""
+    there = F.col("content_meta").isNotNull()
+    if "_raw" in events.columns:
+        there = there & (F.size(F.coalesce(F.json_object_keys(F.get_json_object("_raw", "$.content_meta")), F.array())) > 0)
+    return there
+
+
+def rate(a: str, b: str) -> Column:
+    return F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
+
+
+def golden_metrics(events: DataFrame) -> DataFrame:
+    """One row of counts and shares of a sample."""
+    url = F.coalesce("url", F.lit(""))
+    meta = has_meta(events)
+    counts = events.agg(
+        F.count("*").alias("total"), F.count_if(meta).alias("enriched"), F.count_if(is_youtube(url)).alias("youtube_urls"), F.count_if(is_youtube(url) & meta).alias("youtube_enriched"),
+        F.count_if(truthy(F.col("session_id"), "string")).alias("with_session"), F.count_if(truthy(F.col("labels.reason"), "string")).alias("with_labels"),
+    )
+    rates = {"enrichment_rate": ("enriched", "total"), "youtube_enrichment_rate": ("youtube_enriched", "youtube_urls"), "session_join_rate": ("with_session", "total"), "label_coverage": ("with_labels", "total")}
+    return counts.withColumns({k: rate(*v) for k, v in rates.items()})
+
+
+def coverage_percent(events: DataFrame) -> DataFrame:
+    """One row of counts and percentages; a share of nothing is 0."""
+    url = F.coalesce("url", F.lit(""))
+    meta = has_meta(events)
+    counts = events.agg(
+        F.count("*").alias("total_events"), F.count_if(meta).alias("cache_hits"), F.count_if(truthy(F.col("session_id"), "string")).alias("session_joins"),
+        F.count_if(is_youtube(url)).alias("youtube_events"), F.count_if(is_youtube(url) & meta).alias("youtube_enriched"),
+    )
+    rates = {"cache_coverage_pct": ("cache_hits", "total_events"), "session_coverage_pct": ("session_joins", "total_events"), "youtube_coverage_pct": ("youtube_enriched", "youtube_events")}
+    return counts.withColumns({k: rate(*v) * 100 for k, v in rates.items()})
+
+
+def bad_timestamps(events: DataFrame, as_of: str, order: str, n: int = 5) -> DataFrame:
+    """The first few rows whose time is missing, unreadable or more than two calendar years off."""
+    return events.where(~within_calendar_years(F.col("visited_at_iso"), as_of)).orderBy(order).limit(n).select(order, "visited_at_iso")
+
+
+def schema_misses(events: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows of the JSON lines that lack a key, which is only a warning: _raw and the keys."""
+    missing = F.array_except(F.array(*map(F.lit, keys)), F.coalesce(F.json_object_keys("_raw"), F.array().cast("array<string>")))
+    return events.withColumn("missing", missing).where(F.size("missing") > 0)
+
+
+def first_errors(rows: DataFrame, cols: tuple[str, ...], order: str, n: int = 10) -> DataFrame:
+    """kind, order, errors of the first rows with errors of each kind."""
+    each = rows.select(order, F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("errors")) for c in cols])).alias("x"))
+    bad = each.select("x.kind", order, "x.errors").where(F.size("errors") > 0)
+    return bad.withColumn("_n", F.row_number().over(Window.partitionBy("kind").orderBy(order))).where(F.col("_n") <= n).drop("_n")
+
+
 def coverage(events: DataFrame, as_of: str) -> DataFrame:
     """One row of counts and shares; a share of nothing is 0."""
     url = F.coalesce("url", F.lit(""))
-    meta = F.col("content_meta").isNotNull()
+    meta = has_meta(events)
     counts = events.agg(
         F.count("*").alias("total_events"),
         F.count_if(meta).alias("cache_hits"),
@@ -23,14 +77,13 @@ def coverage(events: DataFrame, as_of: str) -> DataFrame:
         F.count_if(within_years(F.col("visited_at_iso"), as_of)).alias("valid_timestamps"),
         F.count_if(truthy(F.col("labels.reason"), "string")).alias("labeled_events"),
     )
-    rate = lambda a, b="total_events": F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
     return counts.withColumns(
         {
-            "cache_hit_rate": rate("cache_hits"),
-            "session_join_rate": rate("session_joins"),
+            "cache_hit_rate": rate("cache_hits", "total_events"),
+            "session_join_rate": rate("session_joins", "total_events"),
             "youtube_enrichment_rate": rate("youtube_enriched", "youtube_urls"),
-            "timestamp_validity_rate": rate("valid_timestamps"),
-            "label_coverage_rate": rate("labeled_events"),
+            "timestamp_validity_rate": rate("valid_timestamps", "total_events"),
+            "label_coverage_rate": rate("labeled_events", "total_events"),
         }
     )
 

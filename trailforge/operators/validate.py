@@ -22,6 +22,28 @@ def missing_keys(raw: Column, keys: tuple[str, ...]) -> Column:
     return F.array_except(F.array(*map(F.lit, keys)), F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")))
 
 
+def kind(path: str) -> Column:
+    """Type of a value of the row's JSON line (in _v): STRING, BIGINT, OBJECT<...>, VOID for null; null where it is absent."""
+    return F.schema_of_variant(F.try_variant_get(F.col("_v"), path, "variant"))
+
+
+def _parsed(events: DataFrame) -> DataFrame:
+    return events.withColumn("_v", F.expr("try_parse_json(_raw)"))
+
+
+def _not(path: str, *kinds: str, null_ok: bool = False) -> Column:
+    """A value that is there and of none of the types."""
+    k = kind(path)
+    fine = F.lit(False)
+    for x in (*kinds, *(["VOID"] if null_ok else [])):
+        fine = fine | k.startswith(x)
+    return k.isNotNull() & ~fine
+
+
+#: Types that count as whole numbers; true and false do, as in Python.
+_WHOLE = ("BIGINT", "BOOLEAN")
+
+
 def _there(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
@@ -30,8 +52,15 @@ def schema_a(as_of: str) -> Column:
     missing = F.transform(missing_keys(F.col("_raw"), REQUIRED_A), lambda k: F.concat(F.lit("missing:"), k))
     has = F.json_object_keys("_raw")
     ts = F.array_contains(has, "visited_at_iso") & ~T.within_years(F.col("visited_at_iso"), as_of)
-    reason = F.array_contains(has, "labels") & F.col("labels").isNotNull() & ~F.array_contains(F.json_object_keys(F.get_json_object("_raw", "$.labels")), "reason")
-    return F.concat(missing, errors(("bad_timestamp", ts), ("labels_not_object", F.array_contains(has, "labels") & F.col("labels").isNull()), ("no_reason", reason)))
+    object_ = kind("$.labels").startswith("OBJECT")
+    reason = object_ & ~F.coalesce(F.array_contains(F.json_object_keys(F.get_json_object("_raw", "$.labels")), "reason"), F.lit(False))
+    return F.concat(
+        missing,
+        errors(
+            ("url_not_string", _not("$.url", "STRING")), ("bad_timestamp", ts), ("content_meta_not_object", _not("$.content_meta", "OBJECT", null_ok=True)),
+            ("labels_not_object", _not("$.labels", "OBJECT")), ("no_reason", reason),
+        ),
+    )
 
 
 def youtube_a() -> Column:
@@ -61,11 +90,11 @@ def session_a(as_of: str) -> Column:
 def labels_a() -> Column:
     reason, m = F.col("labels.reason"), F.col("content_meta")
     long_ = ~F.coalesce(m["is_shorts"], F.lit(False)) & (F.coalesce(m["duration"], F.lit(0)) >= 60)
-    return errors(("unknown_reason", _there(reason) & ~reason.isin(*REASON_TOPIC)), ("long_form_short", (reason == "shorts/entertainment") & long_))
+    return errors(("unknown_reason", _there(reason) & ~reason.isin(*REASON_TOPIC)), ("long_form_short", (reason == "shorts/entertainment") & long_), ("topics_not_list", _not("$.labels.topics", "ARRAY")))
 
 
 def layout_a(events: DataFrame, as_of: str) -> DataFrame:
-    return events.withColumns({"schema_errors": schema_a(as_of), "youtube_errors": youtube_a(), "session_errors": session_a(as_of), "label_errors": labels_a()})
+    return _parsed(events).withColumns({"schema_errors": schema_a(as_of), "youtube_errors": youtube_a(), "session_errors": session_a(as_of), "label_errors": labels_a()}).drop("_v")
 
 
 def layout_b(events: DataFrame) -> DataFrame:
@@ -80,16 +109,24 @@ def layout_b(events: DataFrame) -> DataFrame:
     )
     vid = m["videoId"]
     youtube = F.when(
-        is_youtube(url) & m.isNotNull(),
-        F.when(_there(vid) & url.contains("youtube.com/watch") & ~url.contains(F.concat(F.lit("v="), vid)), "video_id")
+        is_youtube(url),
+        F.when(_not("$.content_meta", "OBJECT", null_ok=True), "not_object")
+        .when(_there(vid) & url.contains("youtube.com/watch") & ~url.contains(F.concat(F.lit("v="), vid)), "video_id")
         .when(_there(vid) & ~url.contains("youtube.com/watch") & url.contains("youtu.be/") & ~url.contains(vid), "video_id")
-        .when(m["duration"] < 0, "duration")
-        .when(m["views"] < 0, "views"),
+        .when((m["duration"] < 0) | _not("$.content_meta.duration", *_WHOLE, null_ok=True), "duration")
+        .when((m["views"] < 0) | _not("$.content_meta.views", *_WHOLE, null_ok=True), "views"),
     )
     hint = F.col("duration_hint")
-    session = F.when(_there(F.col("session_id")) & hint.isNull(), "no_duration_hint").when(hint < 0, "duration_hint")
-    labels = F.when(F.col("labels").isNull(), "missing").when(~F.coalesce(_there(F.col("labels.reason")), F.lit(False)), "reason")
-    return events.withColumns({"missing": missing_keys(F.col("_raw"), REQUIRED_B), "timestamp_error": timestamp, "youtube_error": youtube, "session_error": session, "label_error": labels})
+    no_hint = F.coalesce(kind("$.duration_hint") == "VOID", F.lit(True))
+    session = F.when(_there(F.col("session_id")) & no_hint, "no_duration_hint").when((hint < 0) | _not("$.duration_hint", *_WHOLE, null_ok=True), "duration_hint")
+    labels = (
+        F.when(F.coalesce(kind("$.labels") == "VOID", F.lit(True)), "missing")
+        .when(_not("$.labels", "OBJECT"), "not_object")
+        .when(~F.coalesce(kind("$.labels.reason") == "STRING", F.lit(False)) | ~F.coalesce(_there(F.col("labels.reason")), F.lit(False)), "reason")
+        .when(_not("$.labels.topics", "ARRAY"), "topics")
+    )
+    found = {"missing": missing_keys(F.col("_raw"), REQUIRED_B), "timestamp_error": timestamp, "youtube_error": youtube, "session_error": session, "label_error": labels}
+    return _parsed(events).withColumns(found).drop("_v")
 
 
 def example_reason(instruction: Column, context: Column) -> Column:

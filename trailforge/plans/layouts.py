@@ -9,7 +9,8 @@ from trailforge.functions import ids, sft, text, url
 from trailforge.functions import time as T
 from trailforge.functions.constants import MIN_CONTEXT
 from trailforge.operators.dedup import cut, exact_first, greedy_kept
-from trailforge.operators.sampling import mersenne_split, rank_split
+from trailforge.operators.sampling import head, mersenne_split, rank_split
+from trailforge.operators.validate import example_reason
 
 META = ("title", "channel", "publishDate", "duration", "views", "keywords")
 
@@ -60,9 +61,9 @@ def _v2(e: DataFrame, least: int) -> DataFrame:
     )
 
 
-def layout_v3(events: DataFrame) -> DataFrame:
-    """The short layout: every event, other metadata, no split."""
-    return events.select(
+def layout_v3(events: DataFrame, first: int | None = None, order: str = "visited_at_iso") -> DataFrame:
+    """The short layout: every event (or the first ones in an order), other metadata, no split."""
+    return head(events, order, first).select(
         sft.instruction(F.col("labels.reason"), F.col("content_meta.is_shorts"), F.col("content_meta.duration"), "v3").alias("instruction"),
         sft.context("v3", F.col("transcript_excerpt"), F.col("title"), F.col("url"), _meta()).alias("context"),
         F.lit("").alias("response"),
@@ -70,38 +71,56 @@ def layout_v3(events: DataFrame) -> DataFrame:
     )
 
 
-def pages_to_examples(pages: DataFrame, order: str = "page_id", rules: list[str] | None = None, exceptions: list[str] | None = None, mode: str = "compat") -> tuple[DataFrame, DataFrame]:
+def of_split(examples: DataFrame, split: str) -> DataFrame:
+    """The examples of one split; over a table that is partitioned by it, only that partition is read."""
+    return examples.where(F.col("meta.split_hint") == split)
+
+
+def pages_to_examples(pages: DataFrame, order: str = "page_id", rules: list[str] | None = None, exceptions: list[str] | None = None, mode: str = "compat", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Examples, and (drop_reason, n). pages: order, url, title, text (null: not cached).
 
     compat: near duplicates are looked for among all examples, so of a chunk's instructions only the first stays;
-    intended: only among first instructions, and a kept chunk has all of them.
+    intended: only among first instructions, and a kept chunk has all of them. limit: so many pages that pass all rules
+    are taken, and nothing after the last of them. Examples have ord: (order, row, idx, tno), which tells all rows apart.
     """
     p = pages.withColumn("canon", url.canonical(F.col("url")))
     p = p.withColumn("domain", url.etld1(url.authority(F.col("canon")), rules or [], exceptions or []))
     # The text is redacted while it is cleaned, and once more for the flags, which are therefore those that are left.
     p = text.with_redaction(p.withColumn("clean", text.clean(F.col("text"))), "clean", "clean", "pii_flags")
     p = p.withColumn("drop_reason", F.when(F.col("text").isNull(), "no_cache").when(F.length("clean") < MIN_CONTEXT, "too_short").when(text.has_pii(F.col("clean")), "high_risk_pii"))
+    # Cleaning is the costly part: its result is written once. The row's number is fixed by that.
+    p = cut(p.select(F.struct(F.col(order).alias("order"), F.monotonically_increasing_id().alias("row")).alias("at"), "canon", "title", "domain", "clean", "pii_flags", "drop_reason"))
+    if limit:
+        last = p.where("drop_reason is null").select("at").orderBy("at").limit(limit).agg(F.count("*").alias("n"), F.max("at").alias("at")).first()
+        if last["n"] == limit:
+            p = p.where(F.col("at") <= F.struct(F.lit(last["at"]["order"]).alias("order"), F.lit(last["at"]["row"]).alias("row")))
     fine = p.where("drop_reason is null").withColumn("topic", text.topic(F.col("domain"), F.col("clean"))).withColumn("source_id", ids.source_id(F.col("canon"), F.col("title")))
     chunked = fine.withColumn("c", F.explode(text.chunks(F.col("clean"))))
     made = chunked.withColumn("chunk", F.col("c.chunk")).select("*", F.posexplode(text.templates(F.col("topic"), F.col("domain"), F.col("chunk"))).alias("tno", "instruction"))
-    made = made.withColumn("ord", F.col(order).cast("long") * (1 << 24) + F.col("c.idx") * 8 + F.col("tno")).drop("c")
-    # Cleaning is the costly part: its result is written once, and de-duplication reads it as often as it needs to.
-    made = cut(made.select("ord", "tno", "instruction", "chunk", "canon", "title", "domain", "topic", "source_id", "pii_flags"))
-    once = exact_first(made, F.sha2(F.concat("instruction", F.lit("|"), "chunk"), 256), "ord")
+    made = made.withColumn("ord", F.struct("at.order", "at.row", F.col("c.idx").cast("int").alias("idx"), F.col("tno").cast("int").alias("tno"))).withColumn("reason", example_reason(F.col("instruction"), F.col("chunk")))
+    made = cut(made.select("ord", "instruction", "chunk", F.sha2(F.concat("instruction", F.lit("|"), "chunk"), 256).alias("key"), "canon", "title", "domain", "topic", "source_id", "pii_flags", "reason"))
+    valid = made.where("reason is null")
+    once = cut(exact_first(valid, F.col("key"), "ord"))
     if mode == "compat":
         kept = once.join(greedy_kept(once, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi")
     else:
-        first = once.where("tno = 0")
-        good = first.join(greedy_kept(first, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi").select((F.col("ord") - F.col("tno")).alias("_chunk"))
-        kept = once.withColumn("_chunk", F.col("ord") - F.col("tno")).join(good, "_chunk", "left_semi").drop("_chunk")
+        chunk = F.struct("ord.order", "ord.row", "ord.idx")
+        first = once.where("ord.tno = 0")
+        good = first.join(greedy_kept(first, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi").select(chunk.alias("_chunk"))
+        kept = once.withColumn("_chunk", chunk).join(good, "_chunk", "left_semi").drop("_chunk")
+    kept = cut(kept)
     split = rank_split(kept, "domain").withColumnRenamed("split", "split_hint")
     examples = split.select(
         "ord", "instruction", F.col("chunk").alias("context"), F.lit("").alias("response"),
         F.struct(
             F.col("canon").alias("url"), "title", F.lit(None).cast("string").alias("ts"), "domain", "topic", "source_id",
-            ids.chunk_id(F.col("source_id"), F.expr("(ord div 8) % 2097152")).alias("chunk_id"), F.lit(False).alias("generated"),
+            ids.chunk_id(F.col("source_id"), F.col("ord.idx")).alias("chunk_id"), F.lit(False).alias("generated"),
             F.length("chunk").alias("length_chars"), "split_hint", url.high_risk(F.col("domain")).alias("manual_review"), "pii_flags",
         ).alias("meta"),
     )
-    drops = p.where("drop_reason is not null").groupBy("drop_reason").agg(F.count("*").alias("n"))
-    return examples, drops
+    # Rows that repeat a kept example are duplicates; repeats of one that was too similar are too similar, too.
+    own = valid.groupBy("key").agg(F.count("*").alias("n")).join(kept.select("key", F.lit(1).alias("k")).distinct(), "key", "left")
+    counts = own.agg(F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("dedup"), F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("near_dup"))
+    late = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("drop_reason"), F.col(c).alias("n")) for c in ("dedup", "near_dup")])).alias("x")).select("x.*").where("n > 0")
+    early = p.select("drop_reason").unionByName(made.select(F.col("reason").alias("drop_reason"))).where("drop_reason is not null")
+    return examples, early.groupBy("drop_reason").agg(F.count("*").alias("n")).unionByName(late)

@@ -12,6 +12,7 @@ from trailforge.functions import ids, sft, text, url
 from trailforge.functions import time as T
 from trailforge.operators import dedup, joins, sampling, stats, validate
 from trailforge.plans import layouts
+from trailforge.shared import spread
 
 AS_OF = "2024-06-01T00:00:00"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,7 +129,7 @@ def _ev(extra: str = "") -> str:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t(spark, sf_dir, "events").selectExpr(*[f"{v.format(**_SPARK)} AS {k}" for k, v in _EVENT.items()])
+    e = spread(t(spark, sf_dir, "events").select("event_id", "ts", "user_id")).selectExpr(*[f"{v.format(**_SPARK)} AS {k}" for k, v in _EVENT.items()])
     meta = F.struct(
         F.col("vid").alias("videoId"), F.col("m_title").alias("title"), F.col("m_channel").alias("channel"), F.col("m_date").alias("publishDate"),
         F.col("m_duration").alias("duration"), F.col("m_views").alias("views"), F.col("m_keys").alias("keywords"), F.col("m_shorts").alias("is_shorts"),
@@ -148,7 +149,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT page_id, {_CANON} AS canon FROM pages")
 def url_canonicalize(spark, sf_dir):
-    return t(spark, sf_dir, "pages").select("page_id", url.canonical(F.col("url")).alias("canon"))
+    return spread(t(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", url.canonical(F.col("url")).alias("canon"))
 
 
 @query(f"SELECT {_DOMAIN} AS value, count(*)::BIGINT AS n FROM pages GROUP BY 1 ORDER BY n DESC, value LIMIT 20")
@@ -233,7 +234,7 @@ def domain_mersenne_split(spark, sf_dir):
 
 @query(f"SELECT doc_id, sha256({_redacted('text')}) AS redacted FROM documents")
 def pii_redact(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted"))
+    return spread(t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted"))
 
 
 _FLAGS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({_redacted('text', i)}, {_q(p)}) THEN '{n}' END" for i, (n, p) in enumerate(C.PII_PATTERNS)) + "], lambda x: x IS NOT NULL)"
@@ -241,18 +242,18 @@ _FLAGS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({_redacted('text
 
 @query(f"SELECT doc_id, array_to_string({_FLAGS}, ',') AS flags FROM documents")
 def pii_flags_sequential(spark, sf_dir):
-    d = text.with_redaction(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "redacted", "flags")
+    d = text.with_redaction(spread(t(spark, sf_dir, "documents").select("doc_id", "text")), "text", "redacted", "flags")
     return d.select("doc_id", F.array_join("flags", ",").alias("flags"))
 
 
 @query("SELECT doc_id, (" + " OR ".join(f"regexp_matches(text, {_q(p)})" for _, p in C.PII_PATTERNS) + ") AS has_pii FROM documents")
 def pii_contains(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", text.has_pii(F.col("text")).alias("has_pii"))
+    return spread(t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.has_pii(F.col("text")).alias("has_pii"))
 
 
 @query(f"SELECT page_id, sha256({_cleaned('html')}) AS clean FROM pages")
 def clean_html_text(spark, sf_dir):
-    return t(spark, sf_dir, "pages").select("page_id", F.sha2(text.clean(F.col("html")), 256).alias("clean"))
+    return spread(t(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", F.sha2(text.clean(F.col("html")), 256).alias("clean"))
 
 
 _CHUNKS = "(SELECT doc_id, i AS idx, substr(text, (i * 7040 + 1)::BIGINT, 8000) AS chunk FROM (SELECT doc_id, text, unnest(range(0, greatest(0, ceil((length(text) - 8000) / 7040.0))::BIGINT + 1)) AS i FROM documents))"
@@ -260,7 +261,7 @@ _CHUNKS = "(SELECT doc_id, i AS idx, substr(text, (i * 7040 + 1)::BIGINT, 8000)
 
 @query(f"SELECT doc_id, idx::INT AS idx, length(chunk)::INT AS length, md5(chunk) AS chunk FROM {_CHUNKS} WHERE length(chunk) >= 500")
 def chunk_text(spark, sf_dir):
-    c = t(spark, sf_dir, "documents").select("doc_id", F.explode(text.chunks(F.col("text"))).alias("c"))
+    c = spread(t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.explode(text.chunks(F.col("text"))).alias("c"))
     return c.select("doc_id", F.col("c.idx").cast("int").alias("idx"), F.length("c.chunk").alias("length"), F.md5("c.chunk").alias("chunk"))
 
 
@@ -288,12 +289,12 @@ _SETS = "WITH s AS MATERIALIZED (SELECT doc_id, list_distinct(list_filter(string
     "WHERE len(a.w) > 0 AND len(b.w) > 0 AND len(list_intersect(a.w, b.w))::DOUBLE / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) > 0.92"
 )
 def near_dup_pairs(spark, sf_dir):
-    return dedup.similar_pairs(t(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    return dedup.similar_pairs(spread(t(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", F.col("text"))
 
 
 @query(None)
 def near_dup_greedy(spark, sf_dir):
-    return dedup.greedy_kept(t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", F.col("text"))
+    return dedup.greedy_kept(spread(t(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", F.col("text"))
 
 
 _LW = "list_distinct(list_filter(string_split_regex(lower({}), '\\s+'), lambda w: w <> ''))"
@@ -343,11 +344,11 @@ def ts_sanity(spark, sf_dir):
 
 # --- joins -----------------------------------------------------------------------------------------------------------
 
-_SESS = "SELECT event_type || user_id % 5 AS stream, ts AS s, ts + INTERVAL 1 SECOND * (event_id % 7200 - 60) AS e, {p} AS prio FROM events WHERE event_type = '{k}' AND event_id % 5 = 0"
+_SESS = "SELECT event_type || user_id % 5 AS stream, ts AS s, ts + INTERVAL 1 SECOND * (event_id % 7200 - 60) AS e, {p} AS prio FROM events WHERE event_type = '{k}'"
 
 
 def _sessions(spark, sf_dir, kind: str) -> DataFrame:
-    e = t(spark, sf_dir, "events").where((F.col("event_type") == kind) & (F.col("event_id") % 5 == 0)).withColumn("ts", F.col("ts").cast("timestamp"))
+    e = t(spark, sf_dir, "events").where(F.col("event_type") == kind).withColumn("ts", F.col("ts").cast("timestamp"))
     return e.select(F.expr("concat(event_type, cast(user_id % 5 as string))").alias("stream"), F.col("ts").alias("start"), F.expr("timestampadd(SECOND, cast(event_id % 7200 - 60 as int), ts)").alias("end"))
 
 
@@ -367,11 +368,9 @@ def session_interval_join(spark, sf_dir):
     return joins.interval_join(_event_times(spark, sf_dir), _sessions(spark, sf_dir, "view")).drop("t")
 
 
-@query(_join_sql(_SESS.format(p=0, k="click") + " AND event_id % 3 = 0 UNION ALL " + _SESS.format(p=1, k="view")))
+@query(_join_sql(_SESS.format(p=0, k="click") + " UNION ALL " + _SESS.format(p=1, k="view")))
 def session_priority_join(spark, sf_dir):
-    e = t(spark, sf_dir, "events").where("event_type = 'click' and event_id % 15 = 0").withColumn("ts", F.col("ts").cast("timestamp"))
-    user = e.select(F.expr("concat(event_type, cast(user_id % 5 as string))").alias("stream"), F.col("ts").alias("start"), F.expr("timestampadd(SECOND, cast(event_id % 7200 - 60 as int), ts)").alias("end"))
-    return joins.priority_join(_event_times(spark, sf_dir), user, _sessions(spark, sf_dir, "view")).drop("t")
+    return joins.priority_join(_event_times(spark, sf_dir), _sessions(spark, sf_dir, "click"), _sessions(spark, sf_dir, "view")).drop("t")
 
 
 @query("SELECT o_orderkey AS visit, c_custkey AS item_id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE c_name END AS title FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -470,15 +469,16 @@ def sft_transform_v2(spark, sf_dir):
     return m.select("meta.source_id", "instruction", "context", "meta.title", "meta.ts", "meta.domain", "meta.topic", "meta.length_chars")
 
 
-@query(_ev() + f"SELECT url, visited_at_iso, {_instruction('v3', 'reason')} AS instruction, {_context('v3')} AS context, reason, duration_hint FROM ev")
+@query(_ev() + f"SELECT url, visited_at_iso, {_instruction('v3', 'reason')} AS instruction, {_context('v3')} AS context, '' AS response, browser, profile, {_AUTH} AS domain, title, reason, CASE WHEN has_labels THEN coalesce(reason, 'none') ELSE '' END AS topics, duration_hint FROM ev")
 def sft_pack_v3(spark, sf_dir):
-    return layouts.layout_v3(enriched(spark, sf_dir)).select("meta.url", "meta.visited_at_iso", "instruction", "context", "meta.reason", "meta.duration_hint")
+    m = layouts.layout_v3(enriched(spark, sf_dir))
+    return m.select("meta.url", "meta.visited_at_iso", "instruction", "context", "response", *(f"meta.{c}" for c in ("browser", "profile", "domain", "title", "reason")), F.array_join("meta.topics", ", ").alias("topics"), "meta.duration_hint")
 
 
 @query(None)
 def pages_to_examples(spark, sf_dir):
     p = t(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"), F.when(F.col("page_id") % 10 != 0, F.col("html")).alias("text"))
-    return layouts.pages_to_examples(p)[0].select("ord", "instruction", F.length("context").alias("length"), "meta.url", "meta.domain", "meta.topic", "meta.chunk_id", "meta.split_hint")
+    return layouts.pages_to_examples(p)[0].select(F.col("ord.order").alias("page_id"), "ord.idx", "ord.tno", "instruction", F.length("context").alias("length"), "meta.url", "meta.domain", "meta.topic", "meta.chunk_id", "meta.split_hint")
 
 
 @query("SELECT u.conv_id, u.turn, '[INST] Reply.' || chr(10) || chr(10) || 'Context: ' || u.text || ' [/INST]' AS prompt, u.text AS response, CASE WHEN length(u.text) > 200 THEN left(u.text, 200) || '...' ELSE u.text END AS preview FROM (SELECT * REPLACE (trim(text) AS text) FROM conversations) u WHERE role = 'user'")
@@ -488,11 +488,10 @@ def prompt_format(spark, sf_dir):
     return c.select("conv_id", "turn", p.alias("prompt"), sft.response_of(F.concat(p, F.lit(" "), F.col("text"))).alias("response"), sft.preview(F.col("text")).alias("preview"))
 
 
-@query("SELECT l_orderkey AS k, l_linenumber AS n, array_to_string(list_transform(range(0, 5), lambda i: (CASE WHEN i < l_linenumber % 4 THEN -100 ELSE l_partkey + i END)::BIGINT), ',') AS labels FROM lineitem WHERE l_orderkey <= 1000")
+@query("SELECT l_orderkey AS k, l_linenumber AS n, array_to_string(list_transform(range(0, 5), lambda i: (CASE WHEN i < l_linenumber % 4 THEN -100 ELSE l_partkey + i END)::BIGINT), ',') AS labels FROM lineitem")
 def label_masking(spark, sf_dir):
     labels = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.col("l_partkey") + i)
-    rows = t(spark, sf_dir, "lineitem").where("l_orderkey <= 1000")
-    return rows.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.array_join(sft.masked(labels, F.col("l_linenumber") % 4), ",").alias("labels"))
+    return t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.array_join(sft.masked(labels, F.col("l_linenumber") % 4), ",").alias("labels"))
 
 
 @query("SELECT round(exp(avg(l_discount)), 9) AS perplexity FROM lineitem WHERE l_linenumber <> 1")
@@ -592,13 +591,7 @@ def stratified_by_group(spark, sf_dir):
     return sampling.per_group(t(spark, sf_dir, "events"), "event_type", "event_id", 25).select("event_type", "event_id")
 
 
-@query(None)
-def stratified_golden(spark, sf_dir):
-    e = enriched(spark, sf_dir).withColumn("reason", F.col("labels.reason")).withColumn("has_session", F.coalesce(F.col("session_id") != "", F.lit(False)))
-    return sampling.golden(e.select("event_id", "url", "reason", "has_meta", "has_session")).select("event_id", "reason", "has_meta", "has_session")
-
-
-@query("WITH h AS (SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 200), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r, (SELECT count(DISTINCT source) FROM h) AS k FROM h) SELECT doc_id, source FROM r WHERE r <= greatest(1, 100 // k) ORDER BY source, doc_id LIMIT 100")
+@query("WITH h AS (SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 200), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || doc_id), doc_id) AS r, (SELECT count(DISTINCT source) FROM h) AS k FROM h) SELECT doc_id, source FROM r WHERE r <= greatest(1, 100 // k) ORDER BY source, r LIMIT 100")
 def golden_by_topic(spark, sf_dir):
     return sampling.golden_by_topic(t(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
 
@@ -609,12 +602,17 @@ def json_props_extract(spark, sf_dir):
     return e.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.array_contains(F.json_object_keys("props"), "k").alias("has_k"))
 
 
-@query(_ev() + f"SELECT event_id, browser, coalesce(title, '') AS title, coalesce(session_id, '') AS session_id, coalesce(m_title, '') AS meta_title, coalesce(m_views::VARCHAR, '') AS views, coalesce(reason, '') AS reason FROM ev")
+_CELL = lambda c: f"coalesce({c}::VARCHAR, '')"
+_GOLDEN_SQL = ", ".join(f"{_CELL(c)} AS {c}" for c in ("url", "title", "browser", "profile")) + f", {_AUTH} AS domain, " + ", ".join(f"{_CELL(c)} AS {c}" for c in ("visited_at_iso", "time_of_day", "day_of_week", "session_id", "duration_hint"))
+_GOLDEN_SQL += f", {_CELL('reason')} AS label_reason, CASE WHEN has_labels THEN coalesce(reason, 'none') ELSE '' END AS label_topics, " + ", ".join(f"{_CELL(f'm_{c}' if c != 'videoId' else 'vid')} AS content_meta_{c}" for c in ("videoId", "title", "channel", "duration", "views"))
+_GOLDEN_SQL += ", CASE WHEN NOT has_meta THEN '' WHEN m_shorts THEN 'True' ELSE 'False' END AS content_meta_is_shorts"
+
+
+@query(_ev() + f"SELECT event_id, {_GOLDEN_SQL} FROM ev")
 def golden_flat_rows(spark, sf_dir):
     from trailforge.sources.csv import golden_rows
 
-    e = golden_rows(enriched(spark, sf_dir), keep=("event_id",))
-    return e.select("event_id", "browser", "title", "session_id", F.col("content_meta_title").alias("meta_title"), F.col("content_meta_views").alias("views"), F.col("labels_reason").alias("reason"))
+    return golden_rows(enriched(spark, sf_dir), keep=("event_id",))
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"({_q(m[0])}, {_q(m[1])}, {m[2]}::BIGINT, {m[3][0]}, {m[3][3]}, {m[5]}, {m[6]}, {m[7]}, {m[8]}, {m[9]})" for m in C.MODELS) + ") v(size, model_name, parameters, fp32_gb, int4_gb, min_gpu_memory, lora_r, lora_alpha, batch_size, gradient_accumulation)")

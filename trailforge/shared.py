@@ -44,3 +44,13 @@ def clear(spark: SparkSession) -> int:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
         at.getFileSystem(hadoop).delete(at, True)
     return len(paths)
+
+
+#: Tables of at most so many bytes (as the optimizer estimates them) are dealt to all cores.
+SMALL = 256_000_000
+
+
+def spread(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """A small table, which may lie in one row group of one file, dealt evenly to all cores; a larger one as it is."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if int(str(size)) <= most else df

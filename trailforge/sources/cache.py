@@ -47,12 +47,17 @@ def player_response(html: Column) -> Column:
     return F.coalesce(*map(of, _PLAYER))
 
 
-def video_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """profile, path, video_id, content_meta of the video pages in browser caches below a folder of profiles."""
+def cached_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """profile, path, html of the video pages in browser caches, at any depth below a folder of profiles."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    small = files.where((F.col("length") <= MAX_CACHE_BYTES) & F.col("path").rlike("/Cache(/Cache_Data)?/[^/]+$"))
-    html = small.select(F.regexp_extract("path", r"/([^/]+)/Cache(?:/Cache_Data)?/[^/]+$", 1).alias("profile"), "path", F.decode("content", "UTF-8").alias("html"))
-    found = html.where(F.col("html").contains("ytInitialPlayerResponse")).withColumn("content_meta", player_response(F.col("html")))
+    small = files.where((F.col("length") <= MAX_CACHE_BYTES) & F.col("path").rlike("/[^/]+/Cache/.+$"))
+    html = small.select(F.regexp_extract("path", r"/([^/]+)/Cache/.+$", 1).alias("profile"), "path", F.decode("content", "UTF-8").alias("html"))
+    return html.where(F.col("html").contains("ytInitialPlayerResponse"))
+
+
+def video_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """profile, path, video_id, content_meta of the video pages that name their video."""
+    found = cached_pages(spark, folder).withColumn("content_meta", player_response(F.col("html")))
     return found.where("content_meta is not null").select("profile", "path", F.col("content_meta.videoId").alias("video_id"), "content_meta")
 
 

@@ -19,13 +19,16 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse(rows: DataFrame, schema: str = EVENT_SCHEMA, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Good rows (_raw and the columns) and bad lines (_raw). strict: a bad line fails the query instead."""
+    """Good rows (_raw and the columns) and bad lines (_raw). strict: a bad line fails the query instead.
+
+    Any JSON object is a good row: a value of another type than its column's is null there, and still in _raw.
+    """
     mode = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     full = schema if strict else f"{schema}, _bad string"
     parsed = rows.withColumn("_e", F.from_json("_raw", full, mode))
     if strict:
         return parsed.select("_raw", "_e.*"), rows.limit(0)
-    object_ = F.col("_raw").startswith("{") & F.col("_e._bad").isNull() & F.col("_e").isNotNull()
+    object_ = F.col("_raw").startswith("{") & F.expr("try_parse_json(_raw)").isNotNull() & F.col("_e").isNotNull()
     return parsed.where(object_).select("_raw", "_e.*").drop("_bad"), parsed.where(~F.coalesce(object_, F.lit(False))).select("_raw")
 
 
