@@ -148,9 +148,17 @@ class Automaton(dict):
         first = _child(self.key, self.base, np.zeros(self.base, np.int64), np.arange(self.base))
         self.first = first  # node of each word alone
         self.pairs = self.a["pairs"]
+        # Most words of a text are no item's: a byte for each hash's low bits tells so without a search.
+        self.mask = (1 << (16 * self.base).bit_length()) - 1
+        marks = np.zeros(self.mask + 1, np.uint8)
+        marks[self.a["hash"] & np.uint64(self.mask)] = 1
+        self.maybe = marks.tobytes()
 
     def __missing__(self, word: bytes) -> int:
         h, found = xxhash.xxh3_64_intdigest(word), 0
+        if not self.maybe[h & self.mask]:
+            self[word] = 0
+            return 0
         i = int(np.searchsorted(self.a["hash"], np.uint64(h)))
         while i < len(self.a["hash"]) and int(self.a["hash"][i]) == h:
             if self.a["words"][self.a["words_at"][i] : self.a["words_at"][i + 1]].tobytes() == word:
