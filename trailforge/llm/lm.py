@@ -1,8 +1,9 @@
 """Language-model scores by an n-gram trie in Elias-Fano coded levels that are mapped from shared files.
 
 Learning counts all tokens of the training texts: sums in each task, then a partial and a final aggregation by 64-bit
-hash. N-grams are summed in each task, dealt by their hash in packed rows and added up. Every word has an id, its place in the order of hashes; all n-grams of two and three words that occur ``LEAST``
-times or more are the trie's levels. Words that occur less often can't be in one and are left out before counting.
+hash. N-grams are summed in each task, dealt by their hash in packed rows and added up. Every word has an id, its place in the order of hashes; all n-grams of two and three words that occur ``least``
+times or more (two, unless told otherwise; one keeps all) are the trie's levels. Words that occur less often can't be in
+one and are left out before counting.
 
 Files: the vocabulary, in shards by the hash's leading bits, has every word's hash (monotone, Elias-Fano) and count; the
 place there, after the words of the shards before, is the word's id, so a task looks ids up in the mapped files. The
@@ -118,7 +119,7 @@ class Vocabulary:
     """Ids, from 1 in the order of hashes, and counts of all words, by the mapped files."""
 
     def __init__(self, folder: str, stats: dict):
-        self.folder, self.bits, self.starts = folder, stats["bits"], np.array(stats["starts"], np.int64)
+        self.folder, self.bits, self.starts, self.least = folder, stats["bits"], np.array(stats["starts"], np.int64), stats["least"]
 
     def _files(self, shard: np.ndarray):
         order = np.argsort(shard, kind="stable")
@@ -149,7 +150,7 @@ def _ngrams(h: np.ndarray, starts: int, vocabulary: Vocabulary):
     """Words' ids (the third is 0 for pairs) and counts of the n-grams that begin at the first places. A text ends with END."""
     distinct, at = np.unique(h, return_inverse=True)
     ids, counts = vocabulary.find(distinct)
-    ok = (counts >= LEAST)[at]
+    ok = (counts >= vocabulary.least)[at]
     inner = ok & (h != END)
     bits = len(distinct).bit_length()
     for n in (2, 3):
@@ -202,7 +203,7 @@ def _bucket(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, buckets: int) -> np.
 
 
 def _grams(texts: DataFrame, folder: str, stats: dict) -> DataFrame:
-    """w1, w2, w3, c of the n-grams that occur LEAST times or more; w3 is 0 for pairs.
+    """w1, w2, w3, c of the n-grams that occur often enough; w3 is 0 for pairs.
 
     A task sums up its pieces and deals the n-grams to buckets by their hash; a bucket's part of a piece is one row.
     """
@@ -244,7 +245,8 @@ def _grams(texts: DataFrame, folder: str, stats: dict) -> DataFrame:
             order, new = _sorted(_sorted(w1, w2, True), w3)
             first = np.flatnonzero(new)
             c = np.add.reduceat(c[order], first)
-            cols = [x[order[first[c >= LEAST]]] for x in (w1, w2, w3)] + [c[c >= LEAST]]
+            fine = c >= stats["least"]
+            cols = [x[order[first[fine]]] for x in (w1, w2, w3)] + [c[fine]]
             for i in range(0, len(cols[0]), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in cols], names=["w1", "w2", "w3", "c"])
 
@@ -409,7 +411,7 @@ class Model:
         base = np.log10((count + 1) / (n + v + 1))
         unknown = d * v / n if n else 1.0
         p1 = np.where(count > 0, (count - d) / max(n, 1), unknown)
-        ids[count < LEAST] = 0  # these are in no n-gram
+        ids[count < self.s["least"]] = 0  # these are in no n-gram
         p, word = p1[inverse], ids[inverse]
         later = np.ones(len(h), bool)
         later[begin] = False
@@ -432,8 +434,11 @@ class Model:
         return lengths, total((count > 0)[inverse].astype(np.int64)), total(base[inverse]), total(np.log10(p))
 
 
-def learn(docs: DataFrame, train: Column | None, text_col: str = "text") -> dict:
-    """Counts the training rows and writes the model's files. Gives what a Model needs: folder and numbers."""
+def learn(docs: DataFrame, train: Column | None, text_col: str = "text", least: int = LEAST) -> dict:
+    """Counts the training rows and writes the model's files. Gives what a Model needs: folder and numbers.
+
+    least: how often an n-gram of two or three words must occur to be kept; 1 keeps all of them.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs if train is None else docs.where(train)
@@ -448,7 +453,7 @@ def learn(docs: DataFrame, train: Column | None, text_col: str = "text") -> dict
     entries = np.zeros(1 << bits, np.int64)
     for r in made.select("shard", "entries").collect():  # a row for about SHARD / 2 words or more, or SHARDS rows
         entries[r["shard"]] = r["entries"]
-    stats = {"n": n, "v": v, "bits": bits, "starts": (np.cumsum(entries) - entries).tolist()}
+    stats = {"n": n, "v": v, "bits": bits, "starts": (np.cumsum(entries) - entries).tolist(), "least": least}
     grams = written(_grams(texts, folder, stats), "grams")
     shards = _shards(grams.count())
     keyed = grams.select((F.col("w1") % shards).cast("int").alias("shard"), "w1", "w2", "w3", "c")
