@@ -21,7 +21,7 @@ def interval_join(events: DataFrame, sessions: DataFrame, slop: int = SLOP_SECON
     are joined, not events: a time has one bin, a session is dealt to the bins it touches, and pairs don't repeat. A bin
     with very many times is dealt to several parts. Of several matches the longest session wins, then the one that starts
     last, then the stream's name; with prio, a lower one goes first. Events without a match, or without a time, stay with
-    nulls; rows that repeat stay as they are. Events that have a session_id or duration_hint keep them (as ``add_absent``).
+    nulls; rows that repeat stay as they are. Priorities are whole numbers below 1,000. Events that have a session_id or duration_hint keep them (as ``add_absent``).
     """
     second = lambda c: F.unix_micros(c) / F.lit(1_000_000)
     prio = "prio" if "prio" in sessions.columns else None
@@ -35,10 +35,13 @@ def interval_join(events: DataFrame, sessions: DataFrame, slop: int = SLOP_SECON
     gap = F.expr(f"interval {slop} seconds")
     meets = (F.col("t") >= F.col("start") - gap) & ((F.col("t") < F.col("start")) | (F.col("t") <= F.col("end") + gap))
     pairs = salted_join(times, s, ("_bin",), hot, F.col("t")).where(meets)
-    length = second(F.col("end")) - second(F.col("start"))
-    # The best of a time by one aggregation, combined on the map side; no window over a time's sessions.
-    rank = F.struct(*([(-F.col("prio")).alias("p")] if prio else []), length.alias("len"), F.col("start").alias("start"), F.col("end").alias("end"))
-    best = pairs.groupBy("t").agg(F.max_by(F.struct("stream", "start", "end"), F.struct(rank, _reversed(F.col("stream")))).alias("_s"))
+    # First the best priority and length of a time, as one number (a plain hash aggregation, combined on the map side);
+    # then, among the few sessions that have it, the one that starts last.
+    micros = F.unix_micros("end") - F.unix_micros("start")
+    pairs = pairs.withColumn("_rank", micros - (F.col("prio") * F.lit(1 << 52) if prio else F.lit(0)))
+    most = pairs.groupBy("t").agg(F.max("_rank").alias("_rank"))
+    rank = F.struct(F.col("start").alias("start"), F.col("end").alias("end"), _reversed(F.col("stream")))
+    best = pairs.join(most, ["t", "_rank"]).groupBy("t").agg(F.max_by(F.struct("stream", "start", "end"), rank).alias("_s"))
     joined = events.join(best, "t", "left")
     new = {
         "session_id": F.concat(F.col("_s.stream"), F.lit(":"), F.date_format("_s.start", "yyyy-MM-dd'T'HH:mm:ss")),
