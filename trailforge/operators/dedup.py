@@ -19,7 +19,8 @@ def exact_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
 
 def word_sets(rows: DataFrame, id_col: str, text: Column) -> DataFrame:
     """id, k, h: 128-bit hash of the distinct words, and the words' 64-bit hashes in order, of rows that have words."""
-    w = rows.select(F.col(id_col).alias("id"), F.sort_array(tokens(text)).alias("w")).where(F.size("w") > 0)
+    # Asked of the text, not of the words: a condition on these would be pushed down and find them twice.
+    w = rows.where(text.rlike(r"(?U)\S")).select(F.col(id_col).alias("id"), F.sort_array(tokens(text)).alias("w"))
     # No word has white space in it.
     return cut(w.select("id", F.md5(F.array_join("w", " ")).alias("k"), F.sort_array(F.transform("w", lambda x: F.xxhash64(x))).alias("h")))
 
@@ -37,12 +38,13 @@ def similar_classes(classes: DataFrame, over: float) -> DataFrame:
 
     Words are ordered by how many sets have them, rare first. Two sets that are similar enough share a word among their
     first |x| - ceil(over * |x|) + 1 words; where the first such word stands tells how many they can have in common.
-    A word that very many sets have so early is dealt to several parts of the join.
+    A word that very many sets have is dealt to several parts of the joins.
     """
     n = F.size("h")
     words = classes.select("c", n.alias("n"), F.explode("h").alias("word"))
-    seen = words.groupBy("word").count()
-    ranked = words.join(seen, "word").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("count", "word"))).alias("o"))
+    seen = cut(words.groupBy("word").count())
+    frequent = hot_keys(seen, ("word",), "count", seen.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
+    ranked = salted_join(words, seen, ("word",), frequent, F.col("c")).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("count", "word"))).alias("o"))
     n = F.size("o")
     first = ranked.select("c", n.alias("n"), F.posexplode(F.slice("o", 1, (n - F.ceil(n * F.lit(over) - 1e-9) + 1).cast("int"))).alias("i", "p")).where("p.count > 1")
     first = cut(first.select("c", "n", "i", F.col("p.word").alias("word")))
