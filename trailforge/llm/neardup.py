@@ -6,9 +6,11 @@
    only classes are compared from here on.
 3. Each bucket gives star-shaped edges: from the member that shares most buckets with others (of a family of copies,
    the text the others come from) to each other member. Edges are confirmed on full sets.
-4. A star misses a link between two members that the centre doesn't link. So where a family (classes joined by edges,
-   confirmed or not) is left in more than one component, ``_rest`` tests the pairs across components, on
-   full sets, in blocks of bounded size, and gives links only.
+4. A star misses a link between two members that the centre doesn't link. So where a bucket is left in more than one
+   component, the next of its ``CENTRES`` best members are centres, too, for members of other components. Small buckets,
+   as of a chain of texts each similar to the next, are done with that. Where a larger one is still in more than one
+   component, ``_rest`` tests the pairs across components of its family (members joined by such buckets), on full
+   sets, in blocks of bounded size, and gives links only.
 5. Components come from star steps on the links; a document's component is the smallest id in it.
 
 A bucket, centre, family or class with very many members is dealt to several parts of each join (``salted_join``); texts
@@ -27,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailforge.llm.common import Batches, small_batches, texts_of, written
@@ -35,6 +37,8 @@ from trailforge.llm.graph import components
 from trailforge.operators.skew import hot_keys, salted_join
 
 BINS, ROWS = 128, 4
+#: Members of a bucket that are its centres, one after the other.
+CENTRES = 4
 #: Shingles of one block of a family in ``_rest``; a task holds two blocks.
 BLOCK_SHINGLES = 1 << 16
 
@@ -162,12 +166,39 @@ def links(docs: DataFrame, classes: DataFrame, size: int, per_cent: int, id_col:
     hot = hot_keys(buckets, ("key",), "size", total)
     members = written(salted_join(members, buckets, ("key",), hot, F.col("node")), "buckets")
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
-    scored = members.join(score, "node")
-    centres = scored.groupBy("key").agg(F.max(F.struct("score", "node")).alias("c")).select("key", F.col("c.node").alias("centre"))
-    starred = salted_join(members, centres, ("key",), hot, F.col("node"))
+    order = Window.partitionBy("key").orderBy(F.desc("score"), F.desc("node"))
+    first = members.join(score, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CENTRES)
+    centres = written(first.select("key", F.col("node").alias("centre"), "rank"), "centres")
+    starred = salted_join(members, centres.where("rank = 1"), ("key",), hot, F.col("node"))
     edges = written(starred.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
     ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
     sets = written(_sets(docs, classes.join(ends, "node"), size, id_col, text_col), "sets")
+    inner = components(confirmed(edges, sets, per_cent))
+
+    def opened(rows: DataFrame, least: int) -> DataFrame:
+        """node, key, comp of the buckets of rows (node, key) that have more members than ``least``, in more than one component."""
+        at = written(rows.join(inner.withColumnRenamed("root", "comp"), "node", "left").select("node", "key", F.coalesce("comp", "node").alias("comp")), "members")
+        keys = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
+        keys = written(keys.where((F.col("lo") != F.col("hi")) & (F.col("n") > least)).select("key", "n"), "open-buckets")
+        hot = hot_keys(keys, ("key",), "n", keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        return salted_join(at, keys, ("key",), hot, F.col("node"))
+
+    # The other centres of buckets that a star left in more than one component.
+    still = written(opened(members.select("node", "key"), 2), "open-members")
+    others = centres.where("rank > 1").join(inner.select(F.col("node").alias("centre"), F.col("root").alias("own")), "centre", "left")
+    tried = salted_join(still, others.select("key", "centre", F.coalesce("own", "centre").alias("own")), ("key",), hot, F.col("node")).where("comp <> own")
+    tried = written(tried.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "stars")
+    inner = components(inner.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(confirmed(tried, sets, per_cent)))
+    # Of at most CENTRES + 1 members, every pair has one of the centres in it.
+    left = opened(still.select("node", "key"), CENTRES + 1)
+    family = written(salted_join(left, centres.where("rank = 1"), ("key",), hot, F.col("node")).where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "families")
+    more = _rest(family, inner.withColumnRenamed("root", "comp"), sets, per_cent)
+    # The components so far stand for their links.
+    return inner.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+
+
+def confirmed(edges: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Those of the edges (a, b) that full sets (node, hashes) bear out."""
     a, b = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     sized = F.size("ha") + F.size("hb")
     # A centre may have very many edges: its set is copied to as many parts as they take.
@@ -176,11 +207,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, per_cent: int, id_col:
     # 100 * common >= per_cent * union, where union = both sizes - common.
     joined = salted_join(edges.join(a, "a"), b, ("b",), hot, F.col("a")).where(F.least(F.size("ha"), F.size("hb")) * 100 >= F.greatest(F.size("ha"), F.size("hb")) * per_cent)
     both = joined.select("a", "b", sized.alias("both"), F.size(F.array_intersect("ha", "hb")).alias("common"))
-    found = written(both.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * per_cent).select("a", "b"), "links")
-    inner = components(found)
-    more = _rest(edges, inner.withColumnRenamed("root", "comp"), sets, per_cent)
-    # The components so far stand for their links.
-    return inner.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+    return written(both.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * per_cent).select("a", "b"), "links")
 
 
 def _rest(edges: DataFrame, inner: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
