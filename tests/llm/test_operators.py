@@ -154,6 +154,39 @@ def test_sequences_are_few(spark, kind):
     assert math.ceil(n.sum() / 256) <= best <= got <= math.ceil(best * 1.03) + 1
 
 
+@pytest.mark.parametrize("kind", ["more hosts than go up", "pieces in bins over half"])
+def test_sequences_are_as_few_as_those_of_one_best_fit(spark, kind):
+    """Also where a task's best hosts are many, and where short pieces and their hosts lie in different tasks."""
+    tasks = {"more hosts than go up": [[240] * 597 + [150] * 8, *[[100]] * 7], "pieces in bins over half": [[200] * 60, [56] * 100]}[kind]
+    sizes = [n for t in tasks for n in t]
+    parts = [[(1000 * i + j, "a " * (n - 1)) for j, n in enumerate(t)] for i, t in enumerate(tasks)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(parts, len(parts)).flatMap(lambda x: x), "doc_id long, text string")
+    rows = packing.pack(df, WORD, capacity=256).collect()
+    assert sorted(r["length"] for r in rows) == sorted(sizes) and len({r["doc_id"] for r in rows}) == len(sizes)
+    bins = {}
+    for r in rows:
+        bins.setdefault((r["sequence_id"], r["fill"]), []).append((r["offset"], r["length"]))
+    for (_, fill), found in bins.items():
+        found.sort()
+        assert [o for o, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))] and fill == sum(n for _, n in found) <= 256
+    assert len(bins) == len({r["sequence_id"] for r in rows}) == len(packing.best_fit(sizes, 256))
+
+
+def test_best_fit_by_counts_is_that_by_item():
+    rng = np.random.default_rng(5)
+    for capacity in (1, 7, 256):
+        for _ in range(30):
+            sizes = rng.integers(1, rng.integers(1, capacity + 1) + 1, rng.integers(0, 300)).tolist()
+            plan, bins = packing.planned(Counter(sizes), capacity), {}
+            for n, many in Counter(sizes).items():
+                for b, at, fill in zip(*plan.places(np.full(many, n), np.arange(many)), strict=True):
+                    bins.setdefault((int(b), int(fill)), []).append((int(at), n))
+            assert len(bins) == plan.bins == len(packing.best_fit(sizes, capacity))
+            for (_, fill), found in bins.items():
+                found.sort()
+                assert [o for o, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))] and fill == sum(n for _, n in found) <= capacity
+
+
 # 2: near duplicates
 
 

@@ -19,10 +19,11 @@ null; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailforge.llm.common import Batches, small_batches, texts_of, written
@@ -36,6 +37,8 @@ FAN_IN = 8
 SLACK = (8, 64, 512)
 #: Bins over half full that a node hands up at most, as hosts of the small bins of other nodes.
 HOSTS = 256
+#: Sequences of the whole corpus' best fit are numbered from here, above those of all nodes.
+SETTLED = 31 << 58
 #: Pieces packed together inside a task at once: bounds its memory, and is far more than good fits need. What a block
 #: would hand up is packed with the next block.
 BLOCK = 200_000
@@ -64,6 +67,60 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+@dataclass
+class Plan:
+    """Best fit of counted items. Runs of equal items by size and rank: items of a bin, first bin, offset in it; and runs of bins of one fill."""
+
+    keys: np.ndarray  # (size << 48) + first rank, ascending
+    per: np.ndarray
+    first: np.ndarray
+    base: np.ndarray
+    starts: np.ndarray  # first bin of each run of bins, ascending
+    fills: np.ndarray
+    bins: int
+
+    def places(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bin, offset, and fill of that bin, of each item."""
+        key = (size << 48) + rank
+        i = np.searchsorted(self.keys, key, "right") - 1
+        nth = key - self.keys[i]
+        bin_ = self.first[i] + nth // self.per[i]
+        return bin_, self.base[i] + nth % self.per[i] * size, self.fills[np.searchsorted(self.starts, bin_, "right") - 1]
+
+
+def planned(counts: dict[int, int], capacity: int) -> Plan:
+    """``best_fit`` of counts[n] items of each size n; takes time by the number of sizes, not of items.
+
+    Of equal items, the next one fits the bin that took the last one best, as long as it has room; so bins of one room
+    take as many as they hold, one after the other, and stay a run of equal bins.
+    """
+    runs: list[tuple[int, int, int, int]] = []
+    free: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+    some = made = 0
+    for size in sorted(counts, reverse=True):
+        at, total = 0, counts[size]
+        while at < total:
+            if fits := some >> size:
+                room = size + (fits & -fits).bit_length() - 1
+                first, n = free[room].pop()
+                if not free[room]:
+                    some &= ~(1 << room)
+            else:
+                room, first, n = capacity, made, -(-(total - at) // (capacity // size))
+                made += n
+            per = room // size
+            full, extra = divmod(min(total - at, n * per), per)
+            runs.append(((size << 48) + at, per, first, capacity - room))
+            at += full * per + extra
+            for start, m, left in ((first, full, room - per * size), (first + full, int(extra > 0), room - extra * size), (first + full + (extra > 0), n - full - (extra > 0), room)):
+                if m:
+                    free[left].append((start, m))
+                    some |= 1 << left if left else 0
+    ends = sorted((first, capacity - room) for room, found in enumerate(free) for first, _ in found)
+    columns = np.array(sorted(runs), np.int64).reshape(-1, 4).T
+    return Plan(*columns, *np.array(ends, np.int64).reshape(-1, 2).T, made)
+
+
 def residue(fills: list[int], slack: int, capacity: int, hosts: int = HOSTS) -> set[int]:
     """Places of the bins that a node hands up: those half full or less, and some of those that could take one of them."""
     open_ = [i for i, n in enumerate(fills) if capacity - n > slack]
@@ -165,7 +222,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         allow = capacity if final else slack[min(level, len(slack) - 1)]
         merged = _round(rest.withColumn("node", F.floor(F.col("node") / fan_in)), nodes, level, allow, capacity, schema)
         if final:
-            levels.append(merged)
+            levels.append(written(merged, f"packed-{level}"))
             break
         at = written(merged, f"packed-{level}")
         levels.append(at.where("done"))
@@ -173,6 +230,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     bins = levels[0]
     for x in levels[1:]:
         bins = bins.unionByName(x)
+    bins = settled(bins.select("seq", "fill", "pieces"), capacity)
     return bins.select(F.col("seq").alias("sequence_id"), "fill", F.explode("pieces").alias("p")).select(
         F.col("p.id").alias(id_col), "p.piece", "p.start", "p.length", F.col("p.crc").alias("ids_crc32"), "sequence_id", "p.offset", "fill"
     )
@@ -194,3 +252,50 @@ def _round(rest: DataFrame, nodes: int, level: int, slack: int, capacity: int, s
             yield from node.flush(id_type, last=True)
 
     return rest.repartition(nodes, "node").mapInArrow(merge, schema)
+
+
+def settled(bins: DataFrame, capacity: int) -> DataFrame:
+    """seq, fill, pieces of all bins, those with room packed once more over the whole corpus where that makes them fewer."""
+    spark = bins.sparkSession
+    open_ = bins.where(F.col("fill") < capacity)
+    alone = F.transform("pieces", lambda p: p.withField("offset", F.lit(0).cast("long")))
+    items = {
+        "bins": open_.select(F.col("fill").alias("size"), "pieces"),
+        "pieces": open_.select(F.explode(alone).alias("p")).select(F.col("p.length").alias("size"), F.array("p").alias("pieces")),
+    }
+    # Sizes are at most capacity many.
+    count = {k: dict(x.groupBy("size").count().toLocalIterator()) for k, x in items.items()}
+    plans = {k: planned(c, capacity) for k, c in count.items()}
+    best = min(plans, key=lambda k: plans[k].bins)
+    if plans[best].bins >= sum(count["bins"].values()):
+        return bins
+    plan = spark.sparkContext.broadcast(plans[best])
+
+    def number(batches: Batches) -> Batches:
+        """Each item's rank among those of its size in the task."""
+        from pyspark import TaskContext
+
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        for b in batches:
+            size = b.column(0).to_numpy()
+            order = np.argsort(size, kind="stable")
+            _, start, n = np.unique(size[order], return_index=True, return_counts=True)
+            nth = np.empty(len(size), np.int64)
+            nth[order] = np.arange(len(size)) - np.repeat(start, n) + seen[size[order]]
+            np.add.at(seen, size, 1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([task] * len(size), pa.int32()), pa.array(nth)], names=["size", "pieces", "task", "nth"])
+
+    def place(batches: Batches) -> Batches:
+        for b in batches:
+            size, rank = (b.column(i).to_numpy() for i in (0, 2))
+            seq, at, fill = plan.value.places(size, rank)
+            yield pa.RecordBatch.from_arrays([pa.array(seq + SETTLED), pa.array(fill), pa.array(at), b.column(1)], names=["seq", "fill", "at", "pieces"])
+
+    kind = bins.schema["pieces"].dataType.simpleString()
+    ranked = written(items[best].mapInArrow(number, f"size long, pieces {kind}, task int, nth long"), "open")
+    tasks = ranked.groupBy("size", "task").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("size").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    first = tasks.select("size", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    placed = ranked.join(first, ["size", "task"]).select("size", "pieces", (F.col("first") + F.col("nth")).alias("rank")).mapInArrow(place, f"seq long, fill long, at long, pieces {kind}")
+    moved = F.transform("pieces", lambda p: p.withField("offset", p["offset"] + F.col("at")))
+    return bins.where(F.col("fill") == capacity).unionByName(placed.select("seq", "fill", moved.alias("pieces")))
