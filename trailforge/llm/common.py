@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailforge.shared import new_path, shared_dir, written  # noqa: F401 (used by the operators)
+from trailforge.shared import give_back, new_path, shared_dir, written  # noqa: F401 (used by the operators)
 
 #: Rows of one Arrow batch sent to Python. Texts may be long, so batches are kept short.
 ARROW_ROWS = 512

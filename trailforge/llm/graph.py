@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailforge.llm.common import written
+from trailforge.llm.common import give_back, written
 from trailforge.operators.skew import hot_keys, salted_join
 
 
@@ -34,5 +34,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         after = salted_join(large, small, ("a",), hot, F.col("b")).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
         now = written(after.where("a <> b").distinct(), "edges")
+    give_back(now.sparkSession)
     # Roots have only greater neighbours.
     return least.select(F.col("a").alias("node"), F.least("a", "m").alias("root"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailforge.llm.common import Batches, small_batches, texts_of, written
+from trailforge.llm.common import Batches, give_back, small_batches, texts_of, written
 from trailforge.llm.graph import components
 from trailforge.operators.skew import hot_keys, salted_join
 
@@ -280,6 +280,7 @@ def across(pdf: pd.DataFrame, per_cent: int) -> list[tuple[int, int]]:
 def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, n_shingles, component_id, kept, component (the component's own number, any; null where a row is in none), kept columns of every row."""
     sketch = written(sketches(docs, size, id_col, text_col, keep), "sketches")
+    give_back(docs.sparkSession)
     rows = sketch.where("k1 is not null and id is not null")
     by_set = rows.groupBy("k1", "k2").agg(F.min(F.struct("id", "n_shingles", "bands")).alias("c"), F.count("*").alias("n"))
     # Numbers that differ for different sets; fixed by being written.

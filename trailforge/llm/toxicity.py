@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailforge.llm.common import Batches, small_batches, texts_of
+from trailforge.llm.common import Batches, give_back, small_batches, texts_of
 
 #: Most labelled rows of either class that a model is fitted on.
 MAX_PER_CLASS = 2000
@@ -278,6 +278,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, mo
     small_batches(spark)
     model = fit(labelled(docs, labels, learn, most, id_col, text_col, label_col, lang_col))
     held = spark.sparkContext.broadcast(pickle.dumps(model))
+    del model
+    give_back(spark)
 
     def run(batches: Batches) -> Batches:
         scorer = Scorer(pickle.loads(held.value))

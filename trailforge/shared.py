@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
@@ -46,6 +49,32 @@ def clear(spark: SparkSession) -> int:
     return len(paths)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Hands memory that the driver has freed back to the system: garbage of either heap, and what malloc keeps.
+
+    Plans and generated code of many small jobs pass through the driver's native memory, of which malloc keeps hundreds of
+    MB in its arenas. A JVM or libc that can't trim leaves them as they are.
+    """
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    try:
+        name = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        server, gateway = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), spark.sparkContext._gateway
+        given = gateway.new_array(jvm.java.lang.Object, 4)
+        given[0], given[1] = name, "systemTrimNativeHeap"
+        kinds = gateway.new_array(jvm.java.lang.Class, 4)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = jvm.java.lang.Class.forName(kind)
+        # The server's own class isn't open to py4j, its interface is.
+        jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(server, given)
+    except (Py4JError, TypeError):
+        pass
+
+
 #: Tables of at most so many bytes (as the optimizer estimates them) are dealt to all cores.
 SMALL = 256_000_000
 
