@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import re
 import sqlite3
 
 import pytest
@@ -47,6 +48,71 @@ def test_repeated_and_null_events_keep_their_own_session(spark, monkeypatch):
         assert sorted(str((r["event_id"], r["session_id"], r["duration_hint"])) for r in joins.interval_join(e, s).collect()) == want
 
 
+def rows_shuffled(spark, action):
+    """Rows that a call writes to shuffles."""
+    sc = spark.sparkContext
+    group = f"rows-{random.random()}"
+    sc.setJobGroup(group, "")
+    action()
+    sc.setJobGroup("", "")
+    status, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    stages = {x for j in status.getJobIdsForGroup(group) for x in status.getJobInfo(j).stageIds if status.getStageInfo(x)}
+    return sum(store.lastStageAttempt(x).shuffleWriteRecords() for x in stages)
+
+
+def dense(spark, n):
+    """n events and n sessions, each session over a third of all events."""
+    e = spark.range(n).select(F.col("id").alias("event_id"), F.timestamp_micros(F.col("id") * 7_777_777).alias("t"))
+    at = lambda c: F.timestamp_micros(c * 7_777_777)
+    return e, spark.range(n).select(F.lit("s").alias("stream"), at(F.col("id")).alias("start"), at(F.col("id") + n // 3).alias("end"))
+
+
+def test_interval_join_makes_no_pairs(spark):
+    e, s = dense(spark, 3000)
+    assert rows_shuffled(spark, lambda: joins.interval_join(e, s).write.format("noop").mode("overwrite").save()) < 50 * 3000
+
+
+def test_priority_join_makes_no_pairs(spark):
+    e, s = dense(spark, 3000)
+    assert rows_shuffled(spark, lambda: joins.priority_join(e, s.where("second(start) < 30"), s).write.format("noop").mode("overwrite").save()) < 60 * 3000
+
+
+def test_session_fields_move_no_lines_that_nobody_asks_for(spark):
+    rows = [(1, '{"session_id": "own"}', "own", "2024-01-01T00:00:00Z", None), (2, '{"time_of_day": "x"}', None, "2024-01-01T00:00:00Z", "x"), (3, "{}", None, None, None)]
+    e = spark.createDataFrame(rows, "event_id long, _raw string, session_id string, visited_at_iso string, time_of_day string")
+    s = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 1))], "stream string, start timestamp, end timestamp")
+    out = joins.session_fields(e, s, s.limit(0))
+    assert out.columns == [*e.columns, "duration_hint", "day_of_week"]
+    got = {r["event_id"]: (r["session_id"], r["duration_hint"], r["time_of_day"], r["day_of_week"]) for r in out.collect()}
+    a = "a:2024-01-01T00:00:00"
+    assert got == {1: ("own", 3600, "00:00", "Monday"), 2: (a, 3600, "x", "Monday"), 3: (None, None, None, None)}
+    plan = out.select("event_id", "session_id", "time_of_day")._jdf.queryExecution().optimizedPlan().toString()
+    # Read below the join, where the keys are found, but no column that passes through it.
+    below = plan[plan.index("Join LeftOuter") :].splitlines()[1]
+    assert "Project" in below and not re.search(r"[\[ ]_raw#\d+[,\]]", below)
+
+
+def test_interval_join_of_all_lengths_equals_brute_force(spark):
+    rng = random.Random(11)
+    t0 = dt.datetime(1969, 12, 31, 23, 59, 59)
+    at = lambda us: t0 + dt.timedelta(microseconds=us)
+    span = 2_000_000
+    sessions = [(f"s{i % 3}", at(a := rng.randrange(span)), at(a + rng.choice((0, 1, -1, 7, 8, 9, 64, rng.randrange(-5, 8 ** rng.randrange(1, 8)))))) for i in range(400)]
+    edges = [x + dt.timedelta(microseconds=d) for _, *se in sessions[:60] for x in se for d in (-1, 0, 1)]
+    events = list(enumerate([at(rng.randrange(span)) for _ in range(300)] + edges + [at(10**13), None]))
+    e = spark.createDataFrame(events, "event_id long, t timestamp")
+    s = spark.createDataFrame(sessions, "stream string, start timestamp, end timestamp")
+    for slop in (0, 1):
+        gap = dt.timedelta(seconds=slop)
+
+        def best(t, gap=gap):
+            hit = [x for x in sessions if t and t >= x[1] - gap and (t < x[1] or t <= x[2] + gap)]
+            hit.sort(key=lambda x: (x[1] - x[2], t0 - x[1], x[0]))
+            return f"{hit[0][0]}:{hit[0][1]:%Y-%m-%dT%H:%M:%S}" if hit else None
+
+        assert {r["event_id"]: r["session_id"] for r in joins.interval_join(e, s, slop).collect()} == {i: best(t) for i, t in events}
+
+
 def test_fields_that_are_there_stay(spark):
     rows = [(1, '{"session_id": "own"}', "own", dt.datetime(2024, 1, 1)), (2, '{"session_id": null}', None, dt.datetime(2024, 1, 1)), (3, "{}", None, dt.datetime(2024, 1, 1))]
     e = spark.createDataFrame(rows, "event_id long, _raw string, session_id string, t timestamp")
