@@ -179,6 +179,37 @@ def test_near_duplicates_equal_a_scan(spark):
     assert {r["id"] for r in dedup.greedy_kept(df, "id", F.col("text")).where("kept").collect()} == set(kept)
 
 
+def texts(spark, n, parts=1):
+    """n texts of about 100 of 3000 words, some of them rare; near copies are apart by n // 2, and two texts have no words."""
+    rng = random.Random(9)
+    rows = [" ".join(f"w{int(rng.random() ** 3 * 3000)}" for _ in range(130)) for _ in range(n // 2)]
+    rows += [" ".join(t.split()[: 130 - i % 9]) for i, t in enumerate(rows)]
+    return spark.createDataFrame([*enumerate(rows), (n, " "), (n + 1, None)], "id long, text string").repartition(parts), rows
+
+
+def test_near_duplicates_move_no_words(spark):
+    df, _ = texts(spark, 1000)
+    for f in (dedup.greedy_kept, dedup.similar_pairs):
+        # 1,000 texts have 100,000 words.
+        assert rows_shuffled(spark, lambda f=f: f(df, "id", F.col("text")).write.format("noop").mode("overwrite").save()) < 60_000
+
+
+def test_near_duplicates_with_words_in_the_same_bucket(spark, monkeypatch):
+    df, rows = texts(spark, 200, 3)
+    sets = [set(t.split()) for t in rows]
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in range(len(rows)) for a in range(b)}
+    want = {k: v for k, v in want.items() if v > 0.92}
+    assert want
+    for buckets in (1, 64, dedup.BUCKETS):
+        monkeypatch.setattr(dedup, "BUCKETS", buckets)
+        assert {(r["a"], r["b"]): r["similarity"] for r in dedup.similar_pairs(df, "id", F.col("text")).collect()} == want
+
+
+def test_a_copy_of_a_row_without_id_is_dropped(spark):
+    df = spark.createDataFrame([(None, "a b"), (3, "b a"), (2, "a  b"), (4, "c")], "id long, text string")
+    assert {r["id"]: r["kept"] for r in dedup.greedy_kept(df, "id", F.col("text")).where("id is not null").collect()} == {2: True, 3: False, 4: True}
+
+
 def test_rank_split_sizes(spark):
     df = spark.createDataFrame([(i, f"d{i % 57}.org") for i in range(300)], "i long, d string")
     got = {r["d"]: r["split"] for r in sampling.rank_split(df, "d").collect()}
