@@ -357,3 +357,16 @@ def test_streams(spark, tmp_path):
         q.awaitTermination(120)
         q.stop()
     assert spark.table("f").count() == 2 and spark.table("c").count() == 2 and {r["stream"] for r in spark.table("m").collect()} == {"a"}
+
+
+def test_near_duplicates_of_examples_are_looked_for_once_a_chunk(spark, monkeypatch):
+    looked = []
+    real = layouts.greedy_kept
+    monkeypatch.setattr(layouts, "greedy_kept", lambda rows, *a: looked.append(rows.count()) or real(rows, *a))
+    body = lambda k: " ".join(f"word{k}x{i}" for i in range(200))
+    # The third page repeats the second one's text, but as news it has one more instruction, which no earlier row has.
+    pages = [(1, "https://a.org/1", "one", body(1)), (2, "https://a.org/2", "two", body(2)), (3, "https://news.org/3", "three", body(2)), (4, "https://a.org/4", "four", body(1) + " more")]
+    df = spark.createDataFrame(pages, "page_id long, url string, title string, text string")
+    got = {(r["ord"]["order"], r["ord"]["tno"]) for r in layouts.pages_to_examples(df)[0].collect()}
+    assert got == {(1, 0), (2, 0)}
+    assert looked == [3]

@@ -101,13 +101,14 @@ def pages_to_examples(pages: DataFrame, order: str = "page_id", rules: list[str]
     made = cut(made.select("ord", "instruction", "chunk", F.sha2(F.concat("instruction", F.lit("|"), "chunk"), 256).alias("key"), "canon", "title", "domain", "topic", "source_id", "pii_flags", "reason"))
     valid = made.where("reason is null")
     once = cut(exact_first(valid, F.col("key"), "ord"))
-    if mode == "compat":
-        kept = once.join(greedy_kept(once, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi")
-    else:
+    # All instructions of a chunk stand or fall by the chunk alone, and the first one goes before the others. So one that
+    # isn't the first of its chunk has an earlier row with the same words, be it of this chunk or of an equal one, and
+    # near duplicates need only be looked for among first ones.
+    first = once.where("ord.tno = 0")
+    kept = first.join(greedy_kept(first, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi")
+    if mode != "compat":
         chunk = F.struct("ord.order", "ord.row", "ord.idx")
-        first = once.where("ord.tno = 0")
-        good = first.join(greedy_kept(first, "ord", F.col("chunk")).where("kept").select("ord"), "ord", "left_semi").select(chunk.alias("_chunk"))
-        kept = once.withColumn("_chunk", chunk).join(good, "_chunk", "left_semi").drop("_chunk")
+        kept = once.withColumn("_chunk", chunk).join(kept.select(chunk.alias("_chunk")), "_chunk", "left_semi").drop("_chunk")
     kept = cut(kept)
     split = rank_split(kept, "domain").withColumnRenamed("split", "split_hint")
     examples = split.select(
